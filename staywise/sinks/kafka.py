@@ -1,0 +1,42 @@
+"""Kafka topics. Delivery is at least once: a retried batch can repeat messages."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+
+def options(servers: str, topic: str, checkpoint: str, **extra) -> dict[str, str]:
+    base = {
+        "kafka.bootstrap.servers": servers,
+        "topic": topic,
+        "checkpointLocation": checkpoint,
+    }
+    return base | {name: str(value) for name, value in extra.items()}
+
+
+def message_columns(df: DataFrame) -> DataFrame:
+    """Only the columns a Kafka sink understands; ``value`` must be among them."""
+    if "value" not in df.columns:
+        raise ValueError("a Kafka sink needs a 'value' column; see gold.to_message")
+    return df.select(*[c for c in ("key", "value", "headers") if c in df.columns])
+
+
+def kafka(
+    df: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = None,
+    **extra,
+) -> StreamingQuery:
+    writer = (
+        message_columns(df)
+        .writeStream.format("kafka")
+        .outputMode("append")
+        .options(**options(servers, topic, checkpoint, **extra))
+    )
+    if name is not None:
+        writer = writer.queryName(name)
+    if trigger is not None:
+        writer = writer.trigger(**trigger)
+    return writer.start()

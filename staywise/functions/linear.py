@@ -1,0 +1,63 @@
+"""A fitted pipeline as one column expression."""
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Categories are looked up one by one; beyond this many the model's own hash
+# lookup is the better choice.
+MAX_CATEGORIES = 500
+
+
+def _labels(model: PipelineModel) -> dict[str, list[str]]:
+    labels = {}
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            many = stage.isSet(stage.inputCols)
+            names = stage.getInputCols() if many else [stage.getInputCol()]
+            labels |= zip(names, map(list, stage.labelsArray))
+    return labels
+
+
+def is_small(model: PipelineModel) -> bool:
+    return sum(map(len, _labels(model).values())) <= MAX_CATEGORIES
+
+
+def _category_term(column: str, labels, coefficients) -> Column:
+    """Coefficient of the row's category; unseen values and nulls add nothing."""
+    term = F.lit(0.0)
+    for name, coefficient in reversed(list(zip(labels, coefficients))):
+        term = F.when(F.col(column) == name, coefficient).otherwise(term)
+    return term
+
+
+def margin(model: PipelineModel) -> Column:
+    """Log-odds of the positive class: what the model calls its raw prediction.
+
+    Adds up the same terms in the same order as the feature vector, but as plain
+    arithmetic inside the scan's own code. A null number raises.
+    """
+    labels = _labels(model)
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    fitted = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
+    coefficients = [float(c) for c in fitted.coefficients]
+    total, place = F.lit(0.0), 0
+    for name in inputs:
+        column = name.removesuffix("_ohe")
+        if column in labels:
+            width = len(labels[column])
+            block = coefficients[place : place + width]
+            total = total + _category_term(column, labels[column], block)
+        else:
+            width = 1
+            total = total + F.lit(coefficients[place]) * F.col(column).cast("double")
+        place += width
+    total = total + F.lit(float(fitted.intercept))
+    return F.coalesce(total, F.raise_error(F.lit("a numeric model input is null")))
+
+
+def positive_probability(margin: Column) -> Column:
+    """One minus the negative class, as the model itself computes it."""
+    return 1.0 - 1.0 / (1.0 + F.exp(margin))

@@ -43,7 +43,7 @@ def index_table(counted: DataFrame) -> DataFrame:
 def indexers(counted: DataFrame, columns) -> list[StringIndexerModel]:
     """One indexer per column. Unseen values and nulls share one extra index."""
     labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in index_table(counted).orderBy("column", "index").collect():
+    for row in sorted(index_table(counted).collect(), key=lambda r: r["index"]):
         labels[row["column"]].append(row["value"])
     return [
         StringIndexerModel.from_labels(

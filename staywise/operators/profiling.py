@@ -2,36 +2,76 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, FloatType
+
+
+def _text(df: DataFrame, column: str):
+    """A value as text, different values as different texts."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (DoubleType, FloatType)):
+        value = value + F.lit(0).cast(kind)  # -0.0 equals 0.0
+    if isinstance(kind, BinaryType):
+        return F.hex(value)
+    return value.cast("string")
+
+
+def distinct_counts(df: DataFrame, columns, exact: bool = True) -> DataFrame:
+    """``column, distinct_values`` for flat columns.
+
+    Exact counts combine equal values before the shuffle and spread the rest by
+    column and value, so neither a frequent value nor a wide column is a hot key.
+    ``exact=False`` keeps one sketch per column instead and shuffles nothing else.
+    """
+    if not exact:
+        sketches = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
+        return sketches.unpivot([], columns, "column", "distinct_values")
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), _text(df, c).alias("value")) for c in columns]
+    )
+    return (
+        df.select(F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.lit(1).alias("_one"))
+        .groupBy("column")
+        .agg(F.count("*").alias("distinct_values"))
+    )
 
 
 def profile(df: DataFrame, columns=None, exact: bool = True) -> DataFrame:
     """One row per column: ``column, type, non_null, distinct_values, min, max``.
 
-    Exact distinct counts shuffle every distinct value of every column once;
-    ``exact=False`` uses sketches and needs a single scan. Minimum and maximum are
-    taken in the column's own type and shown as text.
+    Minimum and maximum are taken in the column's own type and shown as text.
     """
     columns = list(columns or df.columns)
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    counts = df.agg(
+    totals = df.agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[distinct(c).alias(f"d_{c}") for c in columns],
         *[F.min(c).cast("string").alias(f"lo_{c}") for c in columns],
         *[F.max(c).cast("string").alias(f"hi_{c}") for c in columns],
     )
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
     entries = [
         F.struct(
             F.lit(c).alias("column"),
-            F.lit(types[c]).alias("type"),
+            F.lit(df.schema[c].dataType.simpleString()).alias("type"),
             F.col(f"n_{c}").alias("non_null"),
-            F.col(f"d_{c}").alias("distinct_values"),
             F.col(f"lo_{c}").alias("min"),
             F.col(f"hi_{c}").alias("max"),
         )
         for c in columns
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    # Both sides have one row per column of ``df``.
+    return (
+        totals.select(F.inline(F.array(*entries)))
+        .join(distinct_counts(df, columns, exact), "column", "left")
+        .select(
+            "column",
+            "type",
+            "non_null",
+            F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
+            "min",
+            "max",
+        )
+    )
 
 
 def head(df: DataFrame, n: int = 10, order=()) -> DataFrame:

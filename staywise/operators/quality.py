@@ -24,6 +24,13 @@ def _ruled(rules: InputRules):
     return [*rules.required, *dict.fromkeys(extra)]
 
 
+def _keeps_all(rules: InputRules) -> Column:
+    condition = F.lit(True)
+    for column in _ruled(rules):
+        condition &= _problem(column, rules).isNull()
+    return condition
+
+
 def check(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Add ``reject_reasons``: the offending columns, empty for a valid row."""
     problems = [_problem(column, rules) for column in _ruled(rules)]
@@ -31,25 +38,25 @@ def check(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
 
 
 def valid(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
-    """Rows that keep every rule, as a plain pushable filter."""
-    condition = F.lit(True)
-    for column in _ruled(rules):
-        condition &= _problem(column, rules).isNull()
-    return df.where(condition)
+    """Rows that keep every rule."""
+    return df.where(_keeps_all(rules))
+
+
+def rejected(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
+    """Rows that break a rule, with their reasons."""
+    return check(df.where(~_keeps_all(rules)), rules)
 
 
 def split(df: DataFrame, rules: InputRules = InputRules()) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``; every row lands in exactly one of the two."""
-    checked = check(df, rules)
-    broken = F.size("reject_reasons") > 0
-    return checked.where(~broken).drop("reject_reasons"), checked.where(broken)
+    return valid(df, rules), rejected(df, rules)
 
 
 def reason_counts(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Rejected rows per offending column. A row with two faults counts in both."""
-    _, rejected = split(df, rules)
     return (
-        rejected.select(F.explode("reject_reasons").alias("reason"))
+        check(df, rules)
+        .select(F.explode("reject_reasons").alias("reason"))
         .groupBy("reason")
         .agg(F.count("*").alias("n"))
     )

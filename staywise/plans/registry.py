@@ -31,7 +31,7 @@ from staywise.schemas import (
     STAMPED_EVENT,
 )
 from staywise.sinks import runs
-from staywise.sinks.files import DRAIN
+from staywise.sinks.file_tables import DRAIN
 from staywise.streaming import medallion, scorer
 from staywise.streaming.control import drain
 from staywise.workspace import new_folder

@@ -58,20 +58,19 @@ def fit(
 
 
 def score_test(fitted: Fitted, spec: ModelSpec = ModelSpec()) -> DataFrame:
-    """The test part with the model's columns, probability and class."""
+    """The test part with log-odds, probability and class."""
     return score.batch(
-        fitted.test, fitted.model, spec.threshold, trust_buckets=True, vectors=True
+        fitted.test, fitted.model, spec.threshold, trust_buckets=True, raw=True
     )
 
 
 def report(scored: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:
     """One row of confusion counts, metrics and exact areas from a single scoring pass.
 
-    Rows are counted per raw score and class; everything else follows from that.
+    Rows are counted per log-odds and class; everything else follows from that.
     """
-    raw = score.probability(scored, "rawPrediction", "_raw")
     by_score = cut_lineage(
-        raw.groupBy(F.col("_raw").alias("score"), "prediction_custom").agg(
+        scored.groupBy(F.col("churn_raw").alias("score"), "prediction_custom").agg(
             F.count_if(F.col(spec.label) == 1).alias("pos"),
             F.count_if(F.col(spec.label) == 0).alias("neg"),
         )

@@ -1,7 +1,7 @@
 """Where rows go: files, Kafka, several sinks at once, the run log."""
 
-from staywise.sinks.fan_out import fan_out
-from staywise.sinks.files import files, files_stream
-from staywise.sinks.kafka import kafka
+from staywise.sinks.fanout import fan_out
+from staywise.sinks.file_tables import files, files_stream
+from staywise.sinks.kafka_topics import kafka
 
 __all__ = ["fan_out", "files", "files_stream", "kafka"]

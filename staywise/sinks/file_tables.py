@@ -6,6 +6,9 @@ from pyspark.sql.streaming import StreamingQuery
 # Process everything that is there now, in bounded micro-batches, then stop.
 DRAIN = {"availableNow": True}
 
+# Start the next micro-batch as soon as the last one is done, for ever.
+KEEP_RUNNING = {"processingTime": "0 seconds"}
+
 
 def files(
     df: DataFrame,
@@ -33,9 +36,9 @@ def files_stream(
 ) -> StreamingQuery:
     """Append a stream to a directory, exactly once across restarts.
 
-    ``trigger`` is passed to Spark as is: ``DRAIN`` for a backlog, or
-    ``{"processingTime": "1 minute"}`` to keep files from becoming too small. The
-    default starts a micro-batch as soon as the last one is done.
+    ``trigger`` is passed to Spark as is: ``DRAIN`` for a backlog, ``KEEP_RUNNING``
+    (also Spark's default), or ``{"processingTime": "1 minute"}`` to keep files from
+    becoming too small.
     """
     writer = (
         df.writeStream.format(fmt)

@@ -1,9 +1,9 @@
 """The two lanes from messages to feature tables.
 
 Each hop is its own query over the file table of the hop before, so hops restart
-and scale independently. No hop keeps state or shuffles. With ``DRAIN`` a lane
-works off its backlog and returns; with any other trigger the hops run side by side
-and are returned still running, to be given to ``control.await_all``.
+and scale independently. No hop keeps state or shuffles. With ``DRAIN``, the default,
+a lane works off its backlog and returns; with any other trigger the hops run side by
+side and are returned still running, to be given to ``control.await_all``.
 """
 
 from dataclasses import dataclass
@@ -21,7 +21,7 @@ from staywise.schemas import (
     SCORING_EVENT,
     STAMPED_EVENT,
 )
-from staywise.sinks.files import DRAIN
+from staywise.sinks.file_tables import DRAIN
 from staywise.streaming.control import drain
 
 
@@ -55,13 +55,12 @@ def training_lane(
     messages: DataFrame,
     paths: LanePaths,
     fmt: str = "parquet",
-    trigger: dict | None = None,
+    trigger: dict = DRAIN,
     **read_options,
 ) -> list[StreamingQuery]:
     """Messages → bronze (raw text) → silver (parsed). Gold is built in batch from
     silver by ``training_gold``, as training wants a full, replaceable table."""
-    spark, trigger = messages.sparkSession, DRAIN if trigger is None else trigger
-    wait = "availableNow" in trigger
+    spark, wait = messages.sparkSession, "availableNow" in trigger
     first = _hop(bronze.decode(messages), paths, "bronze", fmt, trigger, wait)
     raw = _next(spark, paths, "bronze", RAW, fmt, read_options)
     second = _hop(silver.parse(raw), paths, "silver", fmt, trigger, wait)
@@ -84,7 +83,7 @@ def scoring_lane(
     messages: DataFrame,
     paths: LanePaths,
     fmt: str = "parquet",
-    trigger: dict | None = None,
+    trigger: dict = DRAIN,
     clock: Column | None = None,
     rules: FeatureRules = FeatureRules(),
     publish=(),
@@ -92,8 +91,7 @@ def scoring_lane(
 ) -> list[StreamingQuery]:
     """Messages → bronze (parsed, stamped) → silver → gold, the last hop also into
     every sink in ``publish``: functions that start a query on the message frame."""
-    spark, trigger = messages.sparkSession, DRAIN if trigger is None else trigger
-    wait = "availableNow" in trigger
+    spark, wait = messages.sparkSession, "availableNow" in trigger
 
     keep = () if clock is None else ("timestamp",)
     parsed = silver.parse(bronze.decode(messages, keep=keep), SCORING_EVENT, keep=keep)

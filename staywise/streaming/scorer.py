@@ -36,7 +36,7 @@ def scored(
 
 def rejected(features: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Rows that cannot be scored, with their reasons; none is lost."""
-    return quality.split(features, rules)[1]
+    return quality.rejected(features, rules)
 
 
 def stream(

@@ -1,0 +1,220 @@
+"""Boundaries, nulls and malformed text."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
+
+from staywise.config import ALT_SUPPORT_RULES, EVENT_RULES, FeatureRules, InputRules
+from staywise.operators import bronze, gold, label, quality, silver
+from staywise.schemas import SCORING_EVENT
+from staywise.sources import rows
+
+NUMBERS = "late_payments int, support_tickets int, tenure_months int, monthly_charges double"
+
+
+def numbers(spark, *records):
+    return spark.createDataFrame(records, NUMBERS)
+
+
+def column(df, name):
+    return [row[name] for row in df.collect()]
+
+
+def test_bucket_boundaries(spark):
+    df = gold.features(
+        numbers(spark, *[(0, 0, t, c) for t, c in zip((5, 6, 23, 24), (49.99, 50.0, 99.99, 100.0))])
+    )
+    assert column(df, "tenure_bucket") == ["new", "mid", "mid", "loyal"]
+    assert column(df, "charge_bucket") == ["low", "medium", "medium", "high"]
+
+
+def test_flag_boundaries(spark):
+    data = numbers(spark, *[(p, t, 1, 1.0) for p, t in ((2, 4), (3, 5), (3, 6), (0, 7))])
+    df = gold.features(data)
+    assert column(df, "is_payment_risky") == [0, 1, 1, 0]
+    assert column(df, "is_high_support") == [0, 0, 0, 1]
+    assert column(df, "engagement_risk_score") == [6, 8, 9, 7]
+    loose = gold.features(data, ALT_SUPPORT_RULES)
+    assert column(loose, "is_high_support_customer") == [0, 1, 1, 1]
+
+
+def test_nulls_take_the_last_branch(spark):
+    row = gold.features(numbers(spark, (None, None, None, None))).first()
+    assert (row.is_payment_risky, row.is_high_support) == (0, 0)
+    assert (row.tenure_bucket, row.charge_bucket) == ("loyal", "high")
+    assert row.engagement_risk_score is None
+    named = FeatureRules(null_bucket="unknown")
+    row = gold.features(numbers(spark, (None, None, None, None)), named).first()
+    assert (row.tenure_bucket, row.charge_bucket) == ("unknown", "unknown")
+
+
+def test_risk_score_overflow_raises(spark):
+    with pytest.raises(ArithmeticException):
+        gold.features(numbers(spark, (2**31 - 1, 1, 1, 1.0))).collect()
+
+
+@pytest.mark.parametrize(
+    "late, tickets, tenure, charges, plan, expected",
+    [
+        (0, 0, 5, 100.0, "Standard", 0),
+        (0, 0, 5, 100.01, "Standard", 1),
+        (0, 4, 30, 20.0, "Basic", 0),
+        (0, 5, 30, 20.0, "Basic", 1),
+        (3, 7, 30, 20.0, "Premium", 1),
+        (2, 7, 30, 20.0, "Premium", 0),
+        (None, 9, 3, 120.0, "Basic", 1),
+        (3, None, 3, None, None, 0),
+        (None, None, None, None, None, 0),
+        (3, 8, 4, 120.5, "Basic", 1),
+    ],
+)
+def test_churn_label(spark, late, tickets, tenure, charges, plan, expected):
+    df = spark.createDataFrame(
+        [(late, tickets, tenure, charges, plan)], NUMBERS + ", subscription_type string"
+    )
+    assert label.churn(df).first()["churn_label"] == expected
+
+
+def test_canonical_event(spark):
+    event = dict(
+        gender="Male", location="Texas", subscription_type="Basic", tenure_months=4,
+        monthly_charges=120.5, support_tickets=8, late_payments=3,
+        tenure_bucket="new", charge_bucket="high",
+    )
+    row = label.churn(gold.features(rows(spark, [event], SCORING_EVENT))).first()
+    assert (row.is_payment_risky, row.is_high_support, row.churn_label) == (1, 1, 1)
+    assert (row.tenure_bucket, row.charge_bucket) == ("new", "high")
+    assert row.engagement_risk_score == 11
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(-50, 50)),
+            st.one_of(st.none(), st.integers(-50, 50)),
+            st.one_of(st.none(), st.integers(-200, 200)),
+            st.one_of(st.none(), st.floats(-1e6, 1e6)),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_features_follow_their_definitions(spark, records):
+    def name(value, low, high, names):
+        if value is not None and value < low:
+            return names[0]
+        return names[1] if value is not None and value < high else names[2]
+
+    for r in gold.features(numbers(spark, *records)).collect():
+        assert r.is_payment_risky == int((r.late_payments or 0) >= 3)
+        assert r.is_high_support == int((r.support_tickets or 0) >= 7)
+        assert r.tenure_bucket == name(r.tenure_months, 6, 24, ("new", "mid", "loyal"))
+        assert r.charge_bucket == name(r.monthly_charges, 50, 100, ("low", "medium", "high"))
+        if None in (r.late_payments, r.support_tickets):
+            assert r.engagement_risk_score is None
+        else:
+            assert r.engagement_risk_score == r.late_payments + r.support_tickets
+
+
+PARSE_SCHEMA = (
+    "tenure_months int, monthly_charges double, late_payments int, "
+    "support_tickets int, subscription_type string"
+)
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("not json", (None,) * 5),
+        ('{"tenure_months":4', (None,) * 5),
+        ("{}", (None,) * 5),
+        ("", (None,) * 5),
+        (None, (None,) * 5),
+        ('[{"tenure_months":9}]', (None,) * 5),
+        (
+            '{"tenure_months":"4","monthly_charges":"x","late_payments":3}',
+            (None, None, 3, None, None),
+        ),
+        ('{"tenure_months":4.5,"support_tickets":1,"zzz":1}', (None, None, None, 1, None)),
+        ('{"tenure_months":99999999999,"late_payments":2}', (None, None, 2, None, None)),
+        ('{"Tenure_Months":5}', (None,) * 5),
+        ('{"subscription_type":7}', (None, None, None, None, "7")),
+    ],
+)
+def test_parse(spark, text, expected):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(PARSE_SCHEMA)
+    df = spark.createDataFrame([(text,)], "raw_json string")
+    assert tuple(silver.parse(df, schema).first()) == expected
+
+
+def test_decode_keeps_provenance(spark):
+    df = spark.createDataFrame([(bytearray(b"abc"), 7)], "value binary, offset bigint")
+    assert bronze.decode(df, keep=("offset",)).first() == (7, "abc")
+
+
+def test_message_leaves_out_nulls(spark):
+    df = spark.createDataFrame([(1, None, "x")], "a int, b int, c string")
+    assert gold.to_message(df).first().value == '{"a":1,"c":"x"}'
+    assert gold.to_message(df, key="a").first() == ("1", '{"a":1,"c":"x"}')
+
+
+def test_coerce_turns_misfits_into_nulls(spark):
+    df = spark.createDataFrame([(2**40, "4"), (5, "x")], "a bigint, b string")
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("b int, a int")
+    assert [tuple(r) for r in silver.coerce(df, schema).collect()] == [(4, None), (None, 5)]
+
+
+def test_stamp_is_one_value_per_batch(spark):
+    stamps = bronze.stamp(spark.range(1000, numPartitions=4)).select("ingestion_time").distinct()
+    assert stamps.count() == 1 and stamps.first()[0] is not None
+
+
+RULED = dict(
+    gender=["Male", "Other", None],
+    location=["Texas", None],
+    subscription_type=["Basic", "Gold", None],
+    tenure_months=[1, None],
+    monthly_charges=[1.0, None],
+    support_tickets=[0, None],
+    late_payments=[0, None],
+    tenure_bucket=["new", "old"],
+    charge_bucket=["low", "x"],
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.fixed_dictionaries({k: st.sampled_from(v) for k, v in RULED.items()}), max_size=20))
+def test_every_row_is_valid_or_rejected(spark, records):
+    df = rows(spark, records, SCORING_EVENT)
+    good, bad = quality.split(df)
+    fine = [all(r[k] == v[0] for k, v in RULED.items()) for r in records]
+    assert good.count() == sum(fine) == quality.valid(df).count()
+    assert bad.count() == len(records) - sum(fine)
+    for row in bad.collect():
+        assert row.reject_reasons == [k for k in RULED if row[k] != RULED[k][0]]
+
+
+def test_ranges_are_optional_rules(spark):
+    df = numbers(spark, (1, 5, 3, 20.0), (99, 5, 3, 20.0))
+    rules = InputRules(domains={}, required=("late_payments",), ranges={"late_payments": (0, 10)})
+    assert [r.reject_reasons for r in quality.check(df, rules).collect()] == [[], ["late_payments"]]
+
+
+def test_event_rules_do_not_ask_for_buckets():
+    assert "tenure_bucket" not in EVENT_RULES.required + tuple(EVENT_RULES.domains)
+
+
+def test_balance_counts_a_missing_class_as_one(spark):
+    ones = spark.createDataFrame([(1,), (1,)], "churn_label int")
+    assert tuple(label.balance(ones).first()) == (0, 2, 0.5)
+    zeros = spark.createDataFrame([(0,), (0,)], "churn_label int")
+    assert tuple(label.balance(zeros).first()) == (2, 0, 2.0)
+    weights = label.weight(ones.union(zeros).union(zeros)).groupBy("churn_label")
+    assert {tuple(r) for r in weights.agg(F.max("class_weight")).collect()} == {(1, 2.0), (0, 1.0)}

@@ -1,12 +1,17 @@
 """Input rules: split rows that keep them from rows that break them."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staywise.config import InputRules
 
 
-def _problem(column: str, rules: InputRules) -> Column:
+def _fine(column: str, rules: InputRules) -> Column:
+    """Never unknown: a null is simply not fine. Plain comparisons, so that a filter on
+    them reaches the files."""
     value = F.col(column)
     fine = value.isNotNull()
     if column in rules.domains:
@@ -16,7 +21,7 @@ def _problem(column: str, rules: InputRules) -> Column:
         fine &= value >= low
     if high is not None:
         fine &= value <= high
-    return F.when(~fine, column)
+    return fine
 
 
 def _ruled(rules: InputRules):
@@ -25,15 +30,12 @@ def _ruled(rules: InputRules):
 
 
 def _keeps_all(rules: InputRules) -> Column:
-    condition = F.lit(True)
-    for column in _ruled(rules):
-        condition &= _problem(column, rules).isNull()
-    return condition
+    return reduce(and_, [_fine(column, rules) for column in _ruled(rules)], F.lit(True))
 
 
 def check(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Add ``reject_reasons``: the offending columns, empty for a valid row."""
-    problems = [_problem(column, rules) for column in _ruled(rules)]
+    problems = [F.when(~_fine(column, rules), column) for column in _ruled(rules)]
     return df.withColumn("reject_reasons", F.array_compact(F.array(*problems)))
 
 

@@ -34,7 +34,7 @@ from staywise.sinks import runs
 from staywise.sinks.file_tables import DRAIN
 from staywise.streaming import medallion, scorer
 from staywise.streaming.control import drain
-from staywise.workspace import new_folder
+from staywise.workspace import cut_lineage, new_folder
 
 SPEC = ModelSpec()
 
@@ -46,6 +46,11 @@ def _gold(spark, sf_dir):
     return gold.features(fixture.customer_events(spark, sf_dir))
 
 
+def _stored_gold(spark, sf_dir):
+    """Gold as a table, which training reads several times."""
+    return cut_lineage(_gold(spark, sf_dir))
+
+
 def _labelled(spark, sf_dir):
     return label.churn(_gold(spark, sf_dir))
 
@@ -440,12 +445,12 @@ def split_counts(spark, sf_dir):
 
 def train_metrics(spark, sf_dir):
     log = new_folder(spark, "runs")
-    training.run(_gold(spark, sf_dir), new_folder(spark, "models"), log)
+    training.run(_stored_gold(spark, sf_dir), new_folder(spark, "models"), log)
     return runs.read(spark, log).where("kind = 'metric'").select("key", "value")
 
 
 def score_batch(spark, sf_dir):
-    fitted = training.fit(_gold(spark, sf_dir))
+    fitted = training.fit(_stored_gold(spark, sf_dir))
     events = fixture.customer_events(spark, sf_dir)
     return score.batch(events, fitted.model, SPEC.threshold).select(
         "event_id", "churn_prob", "prediction_custom"
@@ -454,9 +459,10 @@ def score_batch(spark, sf_dir):
 
 def score_saved_model(spark, sf_dir):
     """Scores before saving and after loading, compared on every event."""
-    fitted = training.fit(_gold(spark, sf_dir))
+    table = _stored_gold(spark, sf_dir)
+    fitted = training.fit(table)
     path = model.save_version(fitted.model, new_folder(spark, "models"), "v1")
-    events = _gold(spark, sf_dir).select("event_id", *SPEC.inputs)
+    events = table.select("event_id", *SPEC.inputs)
     before = score.batch(events, fitted.model)
     after = score.batch(
         before.withColumnRenamed("churn_prob", "before").drop("prediction_custom"),
@@ -470,7 +476,7 @@ def score_saved_model(spark, sf_dir):
 
 def score_stream(spark, sf_dir):
     """Feature messages scored by a stream; scored and rejected rows read back."""
-    fitted = training.fit(_gold(spark, sf_dir))
+    fitted = training.fit(_stored_gold(spark, sf_dir))
     texts = gold.to_message(gold.features(_dirty_stamped(spark, sf_dir)))
     messages = texts.select(
         F.lit(None).cast("binary").alias("key"),

@@ -30,7 +30,8 @@ def fit(
     label_rules: LabelRules = LabelRules(),
     balance_on: str = "all",
 ) -> Fitted:
-    """Label, weigh, split and fit the valid rows of ``gold``.
+    """Label, weigh, split and fit the valid rows of ``gold``, best a stored table: it
+    is scanned once for counting and once for the solver's own blocks.
 
     One aggregation over categories, label and split part gives both the class balance
     and the category indexes. The balance is taken over all rows, or over the training

@@ -90,6 +90,13 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     assert "c_name" not in text and "c_acctbal" not in text
 
 
+def test_rules_reach_the_files(gold_table, setting):
+    setting("spark.sql.maxMetadataStringLength", "2000")
+    text = plan(quality.valid(gold_table))
+    for pushed in ("In(gender, [Female,Male])", "IsNotNull(late_payments)"):
+        assert pushed in text
+
+
 def test_counts_are_combined_before_the_shuffle(spark, sf_dir):
     for name in ("gold_label_counts", "confusion_matrix", "reject_reasons", "required_fields"):
         assert "partial_" in plan(registry.QUERIES[name](spark, sf_dir))

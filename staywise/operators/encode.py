@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from staywise.config import ModelSpec
 
+# Most category values a model may have over all its columns.
+MAX_LABELS = 1_000_000
+
 
 def category_counts(df: DataFrame, columns, n: str | None = None) -> DataFrame:
     """``column, value, n``: rows per value of every column, from one scan.
@@ -41,9 +44,16 @@ def index_table(counted: DataFrame) -> DataFrame:
 
 
 def indexers(counted: DataFrame, columns) -> list[StringIndexerModel]:
-    """One indexer per column. Unseen values and nulls share one extra index."""
+    """One indexer per column. Unseen values and nulls share one extra index.
+
+    The values end up in the model and with it on every machine, so their number is
+    checked: a column with more is no category.
+    """
+    rows = index_table(counted).limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} category values in {list(columns)}")
     labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in sorted(index_table(counted).collect(), key=lambda r: r["index"]):
+    for row in sorted(rows, key=lambda r: r["index"]):
         labels[row["column"]].append(row["value"])
     return [
         StringIndexerModel.from_labels(

@@ -1,6 +1,5 @@
 """Waiting for streams."""
 
-from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -9,21 +8,21 @@ def stop_all(queries: list[StreamingQuery]) -> None:
         query.stop()
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery], poll: int = 10) -> None:
+def await_all(queries: list[StreamingQuery], poll: int = 5) -> None:
     """Block until every query has ended; the first failure stops the rest.
 
-    All queries are watched at once, so none can fail unseen while another runs.
-    ``poll`` is the longest wait in seconds between two looks.
+    All queries are watched, so none fails unseen while another runs for longer than
+    ``poll`` seconds. Other queries of the session are left alone.
     """
     try:
-        while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination(poll)
-            spark.streams.resetTerminated()
-            if any(q.exception() is not None for q in queries if not q.isActive):
-                break
-        for query in queries:
-            if not query.isActive:
-                query.awaitTermination()
+        while True:
+            for query in queries:
+                if not query.isActive:
+                    query.awaitTermination()  # raises what the query raised
+            active = [query for query in queries if query.isActive]
+            if not active:
+                return
+            active[0].awaitTermination(poll)
     finally:
         stop_all(queries)
 

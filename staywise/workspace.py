@@ -11,11 +11,13 @@ _KEY = "spark.checkpoint.dir"
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
 
-    A local temporary folder stands in only when the session names none, which is
-    the case on a single machine.
+    A temporary folder stands in only where Spark runs on this machine alone.
     """
-    root = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
+    context = spark.sparkContext
+    root = spark.conf.get(_KEY, None) or context.getConf().get(_KEY)
     if root is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="staywise-")
         spark.conf.set(_KEY, root)
     return root.rstrip("/")

@@ -199,3 +199,12 @@ def test_weights_reach_the_solver(gold_table, fitted):
 
 def test_gold_features_are_what_the_model_reads(gold_table):
     assert set(SPEC.inputs) <= set(gold.features(gold_table).columns)
+
+
+def test_too_many_category_values_are_refused(gold_table, monkeypatch):
+    monkeypatch.setattr(encode, "MAX_LABELS", 15)
+    counted = encode.category_counts(gold_table, SPEC.categorical)
+    with pytest.raises(ValueError, match="more than 15"):
+        encode.indexers(counted, SPEC.categorical)
+    monkeypatch.setattr(encode, "MAX_LABELS", 16)
+    assert len(encode.indexers(counted, SPEC.categorical)) == 5

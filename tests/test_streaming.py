@@ -102,7 +102,7 @@ def test_hops_run_side_by_side(spark, topic, tmp_path):
         assert wait_for(seen(1000))
     finally:
         control.stop_all(queries)
-    control.await_all(spark, queries)
+    control.await_all(queries)
 
 
 def test_training_lane_runs_side_by_side(spark, sf_dir, tmp_path):
@@ -132,9 +132,11 @@ def test_one_failure_stops_the_rest(spark, topic, tmp_path):
         str(tmp_path / "bad"),
         str(tmp_path / "cp2"),
     )
+    bystander = sinks.files_stream(stream, str(tmp_path / "other"), str(tmp_path / "cp3"))
     with pytest.raises(StreamingQueryException, match="broken on purpose"):
-        control.await_all(spark, [good, bad], poll=1)
-    assert not good.isActive and not bad.isActive
+        control.await_all([good, bad], poll=1)
+    assert not good.isActive and not bad.isActive and bystander.isActive
+    bystander.stop()
 
 
 def test_fan_out_stops_what_it_started(spark, topic, tmp_path):

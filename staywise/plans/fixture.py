@@ -21,12 +21,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, event_time`` and the customer event fields but ``timestamp``.
 
-    The customer side is narrowed before the large join, whose strategy is left to
-    Spark: it broadcasts below its size threshold only, and beyond that sort-merges
-    with adaptive splitting of keys that hold too many events.
+    Events are joined to one stored table at a time, so that each build side has its
+    file size for an estimate: Spark broadcasts a table below its size threshold only,
+    and beyond that sort-merges with adaptive splitting of keys that hold too many
+    events.
     """
-    customers = (
-        _table(spark, sf_dir, "customer")
+    k = F.get_json_object("props", "$.k").cast("int")
+    segment = F.col("c_mktsegment")
+    cents = F.round(F.col("value") * 100).cast("bigint") % 13001
+    return (
+        _table(spark, sf_dir, "events")
+        .join(
+            _table(spark, sf_dir, "customer"),
+            F.col("user_id") == F.col("c_custkey"),
+        )
         .join(
             _table(spark, sf_dir, "nation"),
             F.col("c_nationkey") == F.col("n_nationkey"),
@@ -35,21 +43,13 @@ def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _table(spark, sf_dir, "region"),
             F.col("n_regionkey") == F.col("r_regionkey"),
         )
-        .select("c_custkey", "c_mktsegment", F.col("r_name").alias("location"))
-    )
-    k = F.get_json_object("props", "$.k").cast("int")
-    segment = F.col("c_mktsegment")
-    cents = F.round(F.col("value") * 100).cast("bigint") % 13001
-    return (
-        _table(spark, sf_dir, "events")
-        .join(customers, F.col("user_id") == F.col("c_custkey"))
         .select(
             "event_id",
             F.col("ts").alias("event_time"),
             F.col("user_id").cast("int").alias("customer_id"),
             (18 + F.col("user_id") * 7 % 53).cast("int").alias("age"),
             F.when(F.col("user_id") % 2 == 0, "Male").otherwise("Female").alias("gender"),
-            "location",
+            F.col("r_name").alias("location"),
             F.when(segment.isin("AUTOMOBILE", "BUILDING"), "Basic")
             .when(segment.isin("FURNITURE", "HOUSEHOLD"), "Standard")
             .otherwise("Premium")

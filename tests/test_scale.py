@@ -66,7 +66,7 @@ def test_a_key_with_a_third_of_the_events_is_split(spark, sf_dir, setting, tmp_p
 
 
 def test_large_sides_are_not_broadcast(spark, sf_dir, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "4KB")
+    setting("spark.sql.autoBroadcastJoinThreshold", "1KB")
     text = plan(fixture.customer_events(spark, sf_dir))
     assert "SortMergeJoin [user_id" in text
 

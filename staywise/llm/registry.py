@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from staywise.llm import mixing, url_rules
-from staywise.llm.common import table
+from staywise.llm import mixing, nbsvm, packing, simhash, url_rules
+from staywise.llm.common import held_out, table
 from staywise.llm.oracle import ORACLE as ORACLE
 
 #: (host, path, verdict); a rule covers the host's subdomains.
@@ -21,13 +21,39 @@ def op3_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_pack_sequences(spark, sf_dir):
+    cut = packing.pieces(table(spark, sf_dir, "documents"))
+    parts = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(parts)
+
+
 def op6_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.fit(docs, table(spark, sf_dir, "labels"))
+    return nbsvm.classify(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), nbsvm.FOLDS).alias("held_out"), "score", "predicted"
+    )
+
+
+def op9_simhash_classes(spark, sf_dir):
+    classed = simhash.classes(table(spark, sf_dir, "documents"))
+    hexed = F.lpad(F.lower(F.hex("print")), 16, "0")
+    return classed.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op3_mix_sources, op6_url_filter)
+    for query in (
+        op3_mix_sources,
+        op4_pack_sequences,
+        op6_url_filter,
+        op7_quality,
+        op9_simhash_classes,
+    )
 }

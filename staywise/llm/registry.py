@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from staywise.llm import mixing, nbsvm, packing, simhash, url_rules
+from staywise.llm import mixing, nbsvm, packing, simhash, surrogates, url_rules
 from staywise.llm.common import held_out, table
 from staywise.llm.oracle import ORACLE as ORACLE
 
@@ -15,6 +15,9 @@ URL_RULES = (
     ("com", "/de/", "block"),
 )
 
+#: Kept secret in production; whoever holds it can tell which surrogate is whose.
+SURROGATE_KEY = "public example key"
+
 
 def op3_mix_sources(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -47,6 +50,11 @@ def op9_simhash_classes(spark, sf_dir):
     return classed.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op10_pii_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, SURROGATE_KEY)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -55,5 +63,6 @@ QUERIES = {
         op6_url_filter,
         op7_quality,
         op9_simhash_classes,
+        op10_pii_surrogates,
     )
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from staywise.llm import mixing, nbsvm, packing, simhash, surrogates, url_rules
+from staywise.llm import mixing, nbsvm, packing, ppm, simhash, surrogates, url_rules
 from staywise.llm.common import held_out, table
 from staywise.llm.oracle import ORACLE as ORACLE
 
@@ -19,6 +19,10 @@ URL_RULES = (
 SURROGATE_KEY = "public example key"
 
 
+def op2_ppm_scores(spark, sf_dir):
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -58,6 +62,7 @@ def op10_pii_surrogates(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
+        op2_ppm_scores,
         op3_mix_sources,
         op4_pack_sequences,
         op6_url_filter,

@@ -1,14 +1,28 @@
 """What several operators share: words, held-out rows, tables in the shared folder."""
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staywise.workspace import cut_lineage, new_folder
 
-__all__ = ["WORD", "cut_lineage", "held_out", "new_folder", "partitions", "table", "words"]
-
+__all__ = [
+    "BLOCK",
+    "WORD",
+    "cut_lineage",
+    "held_out",
+    "new_folder",
+    "partitions",
+    "stored_in_blocks",
+    "table",
+    "words",
+]
+
+#: A slot is a long with a block's number above this bit, and below it a count in the block,
+#: which is less than the block's bytes.
+BLOCK = 32
 #: A word is a run of anything but ASCII white space, as ``bytes.split()`` cuts it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -32,7 +46,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocks(docs: DataFrame, text: str, megabytes: int) -> int:
-    """How many blocks of about ``megabytes`` the texts fill, from their whole sizes."""
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(1, math.ceil(total / (megabytes << 20)))
+def stored_in_blocks(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a ``block`` number, one block per partition of the input.
+
+    The table's files are told by block, so joining what belongs to a block to its rows
+    moves the former only.
+    """
+    spark = docs.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    (
+        docs.withColumn("block", F.spark_partition_id())
+        .write.bucketBy(max(1, docs.rdd.getNumPartitions()), "block")
+        .option("path", new_folder(spark, "blocks"))
+        .saveAsTable(name)
+    )
+    return spark.table(name)

@@ -22,7 +22,6 @@ Words are looked up in the same way for the unigram base. Both tables grow with
 and are never in one place; a block's share is bounded by the block.
 """
 
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from staywise.llm.common import held_out, new_folder, partitions
+from staywise.llm.common import BLOCK, held_out, partitions, stored_in_blocks
 
 ORDER = 5
 SMOOTHING = 0.1
@@ -45,8 +44,6 @@ BEGIN, END = 0xFF, 0xFE
 SYMBOLS = 255
 _SLICE = 1 << 22
 _FLUSH = 1 << 20
-#: A slot is a block's number above, and a count in it, less than its bytes, below.
-_BLOCK = 32
 _LISTS = StructType(
     [StructField("key", LongType(), False), StructField("slot", LongType(), False)]
 )
@@ -135,7 +132,7 @@ def _lists(order: int):
                 for at in range(0, len(keys), _FLUSH):
                     part = slice(at, at + _FLUSH)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[part]), pa.array(counts[part] | block << _BLOCK)],
+                        [pa.array(keys[part]), pa.array(counts[part] | block << BLOCK)],
                         ["key", "slot"],
                     )
 
@@ -290,20 +287,6 @@ def _scores(order: int, smoothing: float, key: pa.DataType):
     return score
 
 
-def _stored(docs: DataFrame) -> DataFrame:
-    """The texts in blocks, one per partition, as a table whose files are told by block, so
-    that joining a block's values to its texts moves the values only."""
-    spark = docs.sparkSession
-    name = f"ppm_{uuid.uuid4().hex}"
-    blocked = docs.withColumn("block", F.spark_partition_id())
-    (
-        blocked.write.bucketBy(max(1, docs.rdd.getNumPartitions()), "block")
-        .option("path", new_folder(spark, "texts"))
-        .saveAsTable(name)
-    )
-    return spark.table(name)
-
-
 def score(
     docs: DataFrame,
     folds: int = FOLDS,
@@ -324,7 +307,7 @@ def score(
     if not 2 <= order <= 6:
         raise ValueError("contexts of 2 to 6 bytes only")
     spark = docs.sparkSession
-    stored = _stored(
+    stored = stored_in_blocks(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             held_out(F.col(doc_id), folds).alias("held_out"),
@@ -344,14 +327,14 @@ def score(
 
     # Both columns are needed wherever this is read, so all readers share its one shuffle.
     dealt = stored.mapInArrow(_lists(order), _LISTS).repartition(partitions(spark), "key")
-    count = F.sum(F.col("slot").bitwiseAND(F.lit((1 << _BLOCK) - 1)))
+    count = F.sum(F.col("slot").bitwiseAND(F.lit((1 << BLOCK) - 1)))
     counts = dealt.groupBy("key").agg(count.alias("n"))
     pair = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
     values = counts.repartition(
         partitions(spark), F.when(F.col("key") < 0, F.xxhash64("key")).otherwise(pair)
     ).mapInArrow(_values(order, levels[1], levels[0]), "key bigint, value double")
     placed = dealt.join(values, "key").select(
-        F.shiftright("slot", _BLOCK).cast("int").alias("block"), "key", "value"
+        F.shiftright("slot", BLOCK).cast("int").alias("block"), "key", "value"
     )
     word = F.col("key") < 0
     figures = counts.agg(

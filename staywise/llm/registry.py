@@ -2,7 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from staywise.llm import mixing, nbsvm, packing, ppm, simhash, surrogates, url_rules
+from staywise.llm import (
+    mixing,
+    nbsvm,
+    packing,
+    passages,
+    ppm,
+    simhash,
+    surrogates,
+    url_rules,
+)
 from staywise.llm.common import held_out, table
 from staywise.llm.oracle import ORACLE as ORACLE
 
@@ -34,6 +43,11 @@ def op4_pack_sequences(spark, sf_dir):
     return packing.pack(parts)
 
 
+def op5_repeated_passages(spark, sf_dir):
+    left = passages.drop_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -65,6 +79,7 @@ QUERIES = {
         op2_ppm_scores,
         op3_mix_sources,
         op4_pack_sequences,
+        op5_repeated_passages,
         op6_url_filter,
         op7_quality,
         op9_simhash_classes,

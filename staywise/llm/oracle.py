@@ -63,7 +63,45 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 FROM judged
 """
 
+_TOP = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+_NEAR = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT *, sqrt(list_inner_product(v, v)) AS n FROM v),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM unit x JOIN unit y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_inner_product(x.v, y.v) / (x.n * y.n) >= 0.98),
+reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+       vec_id <= coalesce(least.b, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN degree ON vec_id = degree.a
+"""
+
 ORACLE = {
+    "op1_topk_search": _TOP,
     "op3_mix_sources": _MIX,
+    "op8_vector_classes": _NEAR,
     "op6_url_filter": _RULES,
 }

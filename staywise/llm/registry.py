@@ -7,9 +7,11 @@ from staywise.llm import (
     nbsvm,
     packing,
     passages,
+    pivots,
     ppm,
     simhash,
     surrogates,
+    topk,
     url_rules,
 )
 from staywise.llm.common import held_out, table
@@ -28,6 +30,11 @@ URL_RULES = (
 SURROGATE_KEY = "public example key"
 
 
+def op1_topk_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op2_ppm_scores(spark, sf_dir):
     return ppm.score(table(spark, sf_dir, "documents"))
 
@@ -62,6 +69,10 @@ def op7_quality(spark, sf_dir):
     )
 
 
+def op8_vector_classes(spark, sf_dir):
+    return pivots.classes(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash_classes(spark, sf_dir):
     classed = simhash.classes(table(spark, sf_dir, "documents"))
     hexed = F.lpad(F.lower(F.hex("print")), 16, "0")
@@ -76,12 +87,14 @@ def op10_pii_surrogates(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_topk_search,
         op2_ppm_scores,
         op3_mix_sources,
         op4_pack_sequences,
         op5_repeated_passages,
         op6_url_filter,
         op7_quality,
+        op8_vector_classes,
         op9_simhash_classes,
         op10_pii_surrogates,
     )

@@ -169,7 +169,9 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Bin, int]]:
 
 
 def _dominated(filling: Bin, waste: int, spare: set[int]) -> bool:
-    """Whether one unused length could take the place of one or two in the filling."""
+    """Whether an unused length fits too, or could take the place of one or two."""
+    if any(size <= waste for size in spare):
+        return True
     options = [*filling, *(x + y for i, x in enumerate(filling) for y in filling[i + 1 :])]
     singles = len(filling)
     for k, taken in enumerate(options):

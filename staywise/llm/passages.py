@@ -35,8 +35,8 @@ from staywise.llm.common import BLOCK, cut_lineage, partitions, stored_in_blocks
 WINDOW = 35
 PHRASE = 18
 #: Phrases in one automaton.
-SHARD = 1 << 16
-_SLICE = 1 << 20
+SHARD = 1 << 15
+_SLICE = 1 << 18
 _FLUSH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -202,33 +202,34 @@ def _list_runs(window: int, phrase: int):
     return task
 
 
-def _located(piece: Slice, wanted: set[int], automata: dict) -> np.ndarray:
-    """Runs around an occurrence of a wanted phrase, found by the automata."""
-    places = []
-    sequence = tuple(piece.numbers.tolist())
-    for automaton in automata:
-        places += [end - piece.phrase + 1 for end, _ in automaton.iter(sequence)]
-    return np.flatnonzero(np.isin(piece.at, np.array(places, dtype=np.int64)))
-
-
-def _automata(pieces: list[Slice], wanted: np.ndarray, shard: int) -> list:
-    """Automata over the words of the wanted phrases, as the block's documents spell them."""
-    spelled: dict[int, tuple[int, ...]] = {}
-    for piece in pieces:
-        phrases = piece.phrases()
-        for k in np.flatnonzero(np.isin(phrases, wanted)).tolist():
-            key = int(phrases[k])
-            if key not in spelled:
-                at = int(piece.at[k])
-                spelled[key] = tuple(piece.numbers[at : at + piece.phrase].tolist())
-    automata, phrases = [], list(spelled.values())
-    for at in range(0, len(phrases), shard):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-        for words in phrases[at : at + shard]:
-            automaton.add_word(words)
-        automaton.make_automaton()
-        automata.append(automaton)
-    return automata
+def _automata(pieces: list[Slice], wanted: np.ndarray, shard: int) -> Iterator:
+    """Automata over the words of the wanted phrases, as the block's documents spell them,
+    one shard at a time."""
+    phrases = [piece.phrases() for piece in pieces]
+    for at in range(0, len(wanted), shard):
+        some, spelled = wanted[at : at + shard], {}
+        for piece, keys in zip(pieces, phrases, strict=True):
+            for k in np.flatnonzero(np.isin(keys, some)).tolist():
+                if keys[k] not in spelled:
+                    begin = piece.at[k]
+                    spelled[keys[k]] = tuple(piece.numbers[begin : begin + piece.phrase].tolist())
+        if spelled:
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+            for words in spelled.values():
+                automaton.add_word(words)
+            automaton.make_automaton()
+            yield automaton
+
+
+def _located(pieces: list[Slice], wanted: np.ndarray, shard: int) -> list[np.ndarray]:
+    """Each piece's runs around an occurrence of a wanted phrase, found by the automata."""
+    met = [np.zeros(len(piece.numbers), dtype=bool) for piece in pieces]
+    for automaton in _automata(pieces, wanted, shard):
+        for piece, places in zip(pieces, met, strict=True):
+            found = automaton.iter(tuple(piece.numbers.tolist()))
+            ends = np.fromiter((end for end, _ in found), np.int64)
+            places[ends - piece.phrase + 1] = True
+    return [np.flatnonzero(places[piece.at]) for piece, places in zip(pieces, met, strict=True)]
 
 
 def _keys(table: pa.Table, kind: int) -> np.ndarray:
@@ -246,9 +247,7 @@ def _list_windows(window: int, phrase: int, shard: int):
             wanted = _keys(given, _PHRASE_KIND)
             vocabulary = Vocabulary()
             pieces = [p for p, _ in _slices(docs.column("text"), vocabulary, window, phrase)]
-            automata = _automata(pieces, wanted, shard)
-            for piece in pieces:
-                at = _located(piece, wanted, automata)
+            for piece, at in zip(pieces, _located(pieces, wanted, shard), strict=True):
                 at = at[np.isin(piece.phrases()[at], wanted)]
                 sizes = piece.hi[at] - piece.lo[at] + 1
                 first = np.repeat(piece.lo[at] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
@@ -281,9 +280,8 @@ def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
         if len(wanted):
             vocabulary = Vocabulary()
             sliced = list(_slices(texts, vocabulary, window, phrase))
-            automata = _automata([p for p, _ in sliced], wanted, shard)
-            for piece, parts in sliced:
-                at = _located(piece, wanted, automata)
+            located = _located([piece for piece, _ in sliced], wanted, shard)
+            for (piece, parts), at in zip(sliced, located, strict=True):
                 whole = np.isin(piece.runs()[at], runs)
                 edge = np.zeros(len(piece.numbers) + 1, dtype=np.int64)
                 np.add.at(edge, piece.lo[at][whole], 1)

@@ -42,8 +42,8 @@ FOLDS = 10
 #: Bytes that UTF-8 never has: before the text, and after it.
 BEGIN, END = 0xFF, 0xFE
 SYMBOLS = 255
-_SLICE = 1 << 22
-_FLUSH = 1 << 20
+_SLICE = 1 << 19
+_FLUSH = 1 << 19
 _LISTS = StructType(
     [StructField("key", LongType(), False), StructField("slot", LongType(), False)]
 )
@@ -76,7 +76,7 @@ class _Lists:
 
     def __init__(self, order: int):
         self.order = order
-        self.held: list[np.ndarray] = []
+        self.limit = _FLUSH
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.words: tuple[Counter, Counter] = (Counter(), Counter())
@@ -89,15 +89,17 @@ class _Lists:
             self.keys.append(keys)
             self.counts.append(counts if training else np.zeros_like(counts))
             self.slices[training], self.sizes[training] = [], 0
-        if sum(map(len, self.keys)) > 4 * _FLUSH:
+        if sum(map(len, self.keys)) > self.limit:
             keys, counts = _merged(self.keys, self.counts)
             self.keys, self.counts = [keys], [counts]
+            # Twice what is distinct, so that merging stays in proportion to the text.
+            self.limit = max(_FLUSH, 2 * len(keys))
 
     def add(self, text: bytes, training: bool) -> None:
         for codes in gram_slices(text, self.order):
             self.slices[training].append(codes)
             self.sizes[training] += len(codes)
-            if self.sizes[training] >= _SLICE:
+            if self.sizes[training] >= 2 * _SLICE:
                 self._close(training)
         words = self.words[training]
         words.update(text.split())

@@ -202,33 +202,45 @@ def _list_runs(window: int, phrase: int):
     return task
 
 
-def _automata(pieces: list[Slice], wanted: np.ndarray, shard: int) -> Iterator:
-    """Automata over the words of the wanted phrases, as the block's documents spell them,
-    one shard at a time."""
+def _spelled(numbers: np.ndarray, digits: int) -> str:
+    """Each word's number as ``digits`` letters of 256, another alphabet for each place, so
+    that a match starts and ends with a word and no node of a trie has many children."""
+    places = np.arange(digits)
+    letters = (numbers[:, None] >> 8 * places) & 0xFF
+    return (letters + 0x100 * (places + 1)).astype("<u4").tobytes().decode("utf-32-le")
+
+
+def _located(
+    pieces: list[Slice], words: int, wanted: np.ndarray, shard: int
+) -> list[np.ndarray]:
+    """Each piece's runs around an occurrence of a wanted phrase.
+
+    Phrases are compiled as the block's documents spell them, a shard at a time, and all
+    pieces are streamed through each automaton.
+    """
+    digits = 1
+    while words > 256**digits:
+        digits += 1
+    texts = [_spelled(piece.numbers, digits) for piece in pieces]
     phrases = [piece.phrases() for piece in pieces]
-    for at in range(0, len(wanted), shard):
-        some, spelled = wanted[at : at + shard], {}
-        for piece, keys in zip(pieces, phrases, strict=True):
-            for k in np.flatnonzero(np.isin(keys, some)).tolist():
-                if keys[k] not in spelled:
-                    begin = piece.at[k]
-                    spelled[keys[k]] = tuple(piece.numbers[begin : begin + piece.phrase].tolist())
-        if spelled:
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-            for words in spelled.values():
-                automaton.add_word(words)
-            automaton.make_automaton()
-            yield automaton
-
-
-def _located(pieces: list[Slice], wanted: np.ndarray, shard: int) -> list[np.ndarray]:
-    """Each piece's runs around an occurrence of a wanted phrase, found by the automata."""
     met = [np.zeros(len(piece.numbers), dtype=bool) for piece in pieces]
-    for automaton in _automata(pieces, wanted, shard):
-        for piece, places in zip(pieces, met, strict=True):
-            found = automaton.iter(tuple(piece.numbers.tolist()))
-            ends = np.fromiter((end for end, _ in found), np.int64)
-            places[ends - piece.phrase + 1] = True
+    for at in range(0, len(wanted), shard):
+        some = wanted[at : at + shard]
+        spelled: dict[int, str] = {}
+        for piece, text, keys in zip(pieces, texts, phrases, strict=True):
+            held = np.flatnonzero(np.isin(keys, some))
+            held = held[np.unique(keys[held], return_index=True)[1]]
+            for key, begin in zip(keys[held].tolist(), piece.at[held].tolist(), strict=True):
+                spelled.setdefault(key, text[begin * digits : (begin + piece.phrase) * digits])
+        if not spelled:
+            continue
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for phrase in spelled.values():
+            automaton.add_word(phrase)
+        automaton.make_automaton()
+        for piece, text, places in zip(pieces, texts, met, strict=True):
+            ends = np.fromiter((end for end, _ in automaton.iter(text)), np.int64)
+            places[(ends + 1) // digits - piece.phrase] = True
     return [np.flatnonzero(places[piece.at]) for piece, places in zip(pieces, met, strict=True)]
 
 
@@ -247,7 +259,9 @@ def _list_windows(window: int, phrase: int, shard: int):
             wanted = _keys(given, _PHRASE_KIND)
             vocabulary = Vocabulary()
             pieces = [p for p, _ in _slices(docs.column("text"), vocabulary, window, phrase)]
-            for piece, at in zip(pieces, _located(pieces, wanted, shard), strict=True):
+            for piece, at in zip(
+                pieces, _located(pieces, len(vocabulary), wanted, shard), strict=True
+            ):
                 at = at[np.isin(piece.phrases()[at], wanted)]
                 sizes = piece.hi[at] - piece.lo[at] + 1
                 first = np.repeat(piece.lo[at] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
@@ -280,7 +294,7 @@ def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
         if len(wanted):
             vocabulary = Vocabulary()
             sliced = list(_slices(texts, vocabulary, window, phrase))
-            located = _located([piece for piece, _ in sliced], wanted, shard)
+            located = _located([piece for piece, _ in sliced], len(vocabulary), wanted, shard)
             for (piece, parts), at in zip(sliced, located, strict=True):
                 whole = np.isin(piece.runs()[at], runs)
                 edge = np.zeros(len(piece.numbers) + 1, dtype=np.int64)

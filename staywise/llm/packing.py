@@ -31,7 +31,7 @@ END = 2
 SPECIAL = {"<|endoftext|>": 50256}
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 #: Fillings tried before the search settles for its incumbent.
-NODES = 5_000
+NODES = 2_000
 PIECE = (
     ("piece", pa.int32(), "int"),
     ("start", pa.int64(), "bigint"),

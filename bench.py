@@ -118,7 +118,9 @@ def jobs(spark):
         "label_counts": lambda: consume(label.counts(labelled)),
         "class_weight": lambda: consume(label.weight(labelled)),
         "string_index": lambda: consume(
-            encode.index_table(encode.category_counts(gold_table, spec.categorical))
+            encode.index_table(
+                encode.category_counts(gold_table, spec.categorical), spec.categorical
+            )
         ),
         "confusion_metrics": lambda: consume(evaluate.metrics(evaluate.confusion(fixed))),
         "curve_areas": lambda: consume(evaluate.areas(evaluate.score_counts(fixed))),

@@ -57,5 +57,6 @@ def churn_condition(rules: LabelRules) -> Column:
 
 
 def class_at(probability: Column, threshold: float, kind: str = "int") -> Column:
-    """1 where the probability reaches the threshold, else 0."""
-    return as_flag(probability >= F.lit(threshold)).cast(kind)
+    """1 where the probability reaches the threshold, else 0; NaN reaches none."""
+    reached = (probability >= F.lit(threshold)) & ~F.isnan(probability)
+    return as_flag(reached).cast(kind)

@@ -3,14 +3,10 @@
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from staywise.config import ModelSpec
 
-# Most category values a model may have over all its columns.
-MAX_LABELS = 1_000_000
-
 
 def category_counts(df: DataFrame, columns, n: str | None = None) -> DataFrame:
     """``column, value, n``: rows per value of every column, from one scan.
@@ -34,32 +30,39 @@ def category_counts(df: DataFrame, columns, n: str | None = None) -> DataFrame:
     )
 
 
-def index_table(counted: DataFrame) -> DataFrame:
-    """``column, value, index``: most frequent value first, ties by value. Sized by the
-    number of categories, which the model holds in memory anyway."""
-    ranked = W.partitionBy("column").orderBy(F.desc("n"), "value")
-    return counted.select(
-        "column", "value", (F.row_number().over(ranked) - 1).cast("double").alias("index")
-    )
+def labels(counted: DataFrame, columns) -> list[list[str]]:
+    """Each column's values, most frequent first, ties by value.
+
+    The values are part of the model and so come to the driver; only they are ordered, and
+    only there.
+    """
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
+    for row in counted.where(F.col("column").isin(*columns)).collect():
+        found[row["column"]].append((-row["n"], row["value"]))
+    return [[value for _, value in sorted(found[c])] for c in columns]
+
+
+def index_table(counted: DataFrame, columns) -> DataFrame:
+    """``column, value, index``: the labels as a table."""
+    rows = [
+        (column, value, float(index))
+        for column, values in zip(columns, labels(counted, columns), strict=True)
+        for index, value in enumerate(values)
+    ]
+    return counted.sparkSession.createDataFrame(rows, "column string, value string, index double")
 
 
 def indexers(counted: DataFrame, columns) -> list[StringIndexerModel]:
     """One indexer per column. Unseen values and nulls share one extra index.
 
-    The values end up in the model and with it on every machine, so their number is
-    checked: a column with more is no category.
+    A single indexer of all columns would do, but PySpark passes label lists of different
+    lengths to it with nulls at the end of the shorter ones.
     """
-    rows = index_table(counted).limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} category values in {list(columns)}")
-    labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in sorted(rows, key=lambda r: r["index"]):
-        labels[row["column"]].append(row["value"])
     return [
         StringIndexerModel.from_labels(
-            labels[c], inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"
+            values, inputCol=column, outputCol=f"{column}_index", handleInvalid="keep"
         )
-        for c in columns
+        for column, values in zip(columns, labels(counted, columns), strict=True)
     ]
 
 

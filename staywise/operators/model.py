@@ -1,5 +1,7 @@
 """Split, fit, save and load the churn classifier."""
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
@@ -9,25 +11,39 @@ from staywise.config import ModelSpec
 from staywise.operators import encode
 
 
-def in_training(key: str | Column = "event_id", percent: int = 80) -> Column:
+Key = str | Column | Sequence[str] | None
+
+#: The default key: all columns of a row.
+WHOLE_ROW = ()
+
+
+def in_training(df: DataFrame, key: Key = WHOLE_ROW, percent: int = 80) -> Column:
     """Whether a row belongs to the training part: a pure function of its key, so it
-    holds across partitionings and reruns. The step through the residues spreads
-    consecutive keys; reducing first keeps the product small."""
-    key = F.col(key) if isinstance(key, str) else key
-    place = F.pmod(F.pmod(key, F.lit(100)) * 7919, F.lit(100))
-    return F.coalesce(place < percent, F.lit(False))
+    holds across partitionings and reruns.
+
+    Named columns are hashed; where all of them are null, the whole row is. An expression
+    gives the place among 100 itself, for callers with a numbering of their own.
+    """
+    if isinstance(key, Column):
+        return F.coalesce(F.pmod(key, F.lit(100)) < percent, F.lit(False))
+    names = [key] if isinstance(key, str) else list(key)
+    place = F.xxhash64(*df.columns)
+    if names:
+        known = F.coalesce(*[F.col(c).cast("string") for c in names]).isNotNull()
+        place = F.when(known, F.xxhash64(*names)).otherwise(place)
+    return F.pmod(place, F.lit(100)) < percent
 
 
 def split(
-    df: DataFrame, key: str | Column | None = "event_id", spec: ModelSpec = ModelSpec()
+    df: DataFrame, key: Key = WHOLE_ROW, spec: ModelSpec = ModelSpec()
 ) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)``. Without a key the split is random: seeded, yet dependent on
-    how the rows are partitioned."""
+    """``(train, test)``. With ``None`` as the key the split is random: seeded, yet
+    dependent on how the rows are partitioned."""
     if key is None:
         share = spec.train_percent / 100
         train, test = df.randomSplit([share, 1 - share], seed=spec.seed)
         return train, test
-    inside = in_training(key, spec.train_percent)
+    inside = in_training(df, key, spec.train_percent)
     return df.where(inside), df.where(~inside)
 
 

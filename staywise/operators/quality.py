@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from staywise.config import InputRules
 
 
-def _fine(column: str, rules: InputRules) -> Column:
-    """Never unknown: a null is simply not fine. Plain comparisons, so that a filter on
-    them reaches the files."""
+def _fine(df: DataFrame, column: str, rules: InputRules) -> Column:
+    """Never unknown: a null is simply not fine, nor is a number without end or none at
+    all. Plain comparisons, so that a filter on them reaches the files."""
     value = F.col(column)
     fine = value.isNotNull()
+    if dict(df.dtypes).get(column) in ("double", "float"):
+        # NaN sorts after all numbers, so it fails the first.
+        fine &= (value < float("inf")) & (value > float("-inf"))
     if column in rules.domains:
         fine &= value.isin(*rules.domains[column])
     low, high = rules.ranges.get(column, (None, None))
@@ -29,24 +32,24 @@ def _ruled(rules: InputRules):
     return [*rules.required, *dict.fromkeys(extra)]
 
 
-def _keeps_all(rules: InputRules) -> Column:
-    return reduce(and_, [_fine(column, rules) for column in _ruled(rules)], F.lit(True))
+def _keeps_all(df: DataFrame, rules: InputRules) -> Column:
+    return reduce(and_, [_fine(df, column, rules) for column in _ruled(rules)], F.lit(True))
 
 
 def check(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Add ``reject_reasons``: the offending columns, empty for a valid row."""
-    problems = [F.when(~_fine(column, rules), column) for column in _ruled(rules)]
+    problems = [F.when(~_fine(df, column, rules), column) for column in _ruled(rules)]
     return df.withColumn("reject_reasons", F.array_compact(F.array(*problems)))
 
 
 def valid(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Rows that keep every rule."""
-    return df.where(_keeps_all(rules))
+    return df.where(_keeps_all(df, rules))
 
 
 def rejected(df: DataFrame, rules: InputRules = InputRules()) -> DataFrame:
     """Rows that break a rule, with their reasons."""
-    return check(df.where(~_keeps_all(rules)), rules)
+    return check(df.where(~_keeps_all(df, rules)), rules)
 
 
 def split(df: DataFrame, rules: InputRules = InputRules()) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staywise.config import FeatureRules
-from staywise.functions import linear
 from staywise.operators import gold
 from staywise.operators.evaluate import classify
 
@@ -32,23 +31,16 @@ def batch(
     Buckets are recomputed from the numbers unless ``trust_buckets``. Rows must have
     passed ``quality``, as a null number raises.
 
-    A model with few categories is applied as one column expression, which needs no
-    vectors and keeps the whole projection in generated code. ``vectors`` asks for
-    the model's own output columns instead, for MLlib evaluators; so do models with
-    many categories. ``raw`` adds the log-odds as ``churn_raw``.
+    ``vectors`` keeps the model's own output columns, for MLlib evaluators; ``raw`` adds
+    the log-odds as ``churn_raw``.
     """
     if not trust_buckets:
         names = ("tenure_bucket", "charge_bucket")
         recomputed = gold.features(df, rules)
         extra = [c for c in names if c not in df.columns]
         df = recomputed.select(*df.columns, *extra)
-    if vectors or not linear.is_small(model):
-        scored = probability(model.transform(df))
-        scored = probability(scored, "rawPrediction", "churn_raw")
-    else:
-        scored = df.withColumn("churn_raw", linear.margin(model)).withColumn(
-            "churn_prob", linear.positive_probability(F.col("churn_raw"))
-        )
+    scored = probability(model.transform(df))
+    scored = probability(scored, "rawPrediction", "churn_raw")
     kept = [*df.columns, *(_BY_MODEL if vectors else ()), *(("churn_raw",) if raw else ())]
     return classify(scored, threshold, kind="int").select(
         *kept, "churn_prob", "prediction_custom"

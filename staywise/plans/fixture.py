@@ -113,7 +113,7 @@ def scoring_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as messages, each tenth one damaged in one of five ways."""
+    """All events as messages, seven in fifty damaged, each in its own way."""
     events = customer_events(spark, sf_dir)
     kind = F.col("event_id") % 50
     fields = F.struct(
@@ -134,7 +134,17 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     quoted = F.regexp_replace(
         text, r'"support_tickets":(\d+)', '"support_tickets":"$1"'
     )
-    damaged = F.when(kind == 0, "not json").when(kind == 4, quoted).otherwise(text)
+    endless = F.regexp_replace(
+        text,
+        r'"monthly_charges":[^,}]+',
+        F.when(kind == 5, '"monthly_charges":"NaN"').otherwise('"monthly_charges":"Infinity"'),
+    )
+    damaged = (
+        F.when(kind == 0, "not json")
+        .when(kind == 4, quoted)
+        .when(kind.isin(5, 6), endless)
+        .otherwise(text)
+    )
     return _as_messages(events, "churn_events", damaged)
 
 

@@ -44,7 +44,8 @@ SELECT event_id, event_time,
        CASE WHEN event_id % 50 <> 0 THEN location END AS location,
        CASE event_id % 50 WHEN 0 THEN NULL WHEN 3 THEN 'Gold' ELSE subscription_type END
            AS subscription_type,
-       CASE WHEN event_id % 50 <> 0 THEN monthly_charges END AS monthly_charges,
+       CASE event_id % 50 WHEN 0 THEN NULL WHEN 5 THEN CAST('NaN' AS DOUBLE)
+            WHEN 6 THEN CAST('Infinity' AS DOUBLE) ELSE monthly_charges END AS monthly_charges,
        CASE WHEN event_id % 50 NOT IN (0, 2) THEN tenure_months END AS tenure_months,
        CASE WHEN event_id % 50 NOT IN (0, 4) THEN support_tickets END AS support_tickets,
        CASE WHEN event_id % 50 <> 0 THEN late_payments END AS late_payments,
@@ -185,7 +186,8 @@ SELECT event_id, concat_ws(',',
                 OR subscription_type NOT IN ('Basic', 'Standard', 'Premium')
               THEN 'subscription_type' END,
          CASE WHEN tenure_months IS NULL THEN 'tenure_months' END,
-         CASE WHEN monthly_charges IS NULL THEN 'monthly_charges' END,
+         CASE WHEN monthly_charges IS NULL OR NOT isfinite(monthly_charges)
+              THEN 'monthly_charges' END,
          CASE WHEN support_tickets IS NULL THEN 'support_tickets' END,
          CASE WHEN late_payments IS NULL THEN 'late_payments' END) AS reasons
 FROM dirty
@@ -246,6 +248,9 @@ _METRIC_ROWS = " UNION ALL ".join(
     )
 )
 
+_STREAM_COUNTS = f"""{_WITH} SELECT reasons, count(*) AS n_rows,
+    count(*) FILTER (reasons = '') AS n_scored FROM ({_REASONS}) GROUP BY reasons"""
+
 ORACLE = {
     "gold_label_counts": f"""{_WITH} SELECT tenure_bucket, charge_bucket, churn_label,
         count(*) AS n FROM lab GROUP BY ALL""",
@@ -253,8 +258,9 @@ ORACLE = {
     "src_json_batch_inferred": _INFERRED_ROWS,
     "sink_json_stream": _TRAINING_ROWS,
     "sink_json_batch": f"{_WITH} SELECT event_id, {_GOLD_ROWS} FROM gold",
-    "rows_source": f"""{_WITH} SELECT location, count(*) AS n_events,
-        max(support_tickets) AS max_tickets FROM ev GROUP BY location""",
+    "rows_source": f"""{_WITH} SELECT count(*) AS n_events,
+        count(DISTINCT location) AS n_locations, max(support_tickets) AS max_tickets
+        FROM ev""",
     "bronze_raw": f"""{_WITH} SELECT '{{"customer_id":' || customer_id || ',"age":' || age
         || ',"gender":"' || gender || '","location":"' || location
         || '","subscription_type":"' || subscription_type
@@ -346,6 +352,40 @@ ORACLE = {
         churn_label, count(*) AS n FROM lab GROUP BY ALL""",
     "score_saved_model": f"""{_WITH} SELECT count(*) AS n_rows,
         CAST(0 AS BIGINT) AS n_different FROM ev""",
-    "score_stream_counts": f"""{_WITH} SELECT reasons, count(*) AS n_rows,
-        count(*) FILTER (reasons = '') AS n_scored FROM ({_REASONS}) GROUP BY reasons""",
+    "score_stream_counts": _STREAM_COUNTS,
+    "score_stream_restart": _STREAM_COUNTS,
+    "train_metrics": f"""{_WITH}, {_INDEX} SELECT
+        count(*) FILTER ((event_id * 7919) % 100 < 80) AS n_train,
+        count(*) FILTER ((event_id * 7919) % 100 >= 80) AS n_test,
+        CAST((SELECT count(*) FROM idx WHERE ("column", value) IN (
+                SELECT "column", value FROM pairs WHERE (event_id * 7919) % 100 < 80)) + 4 AS INT)
+            AS n_features,
+        CAST(greatest(count(*) FILTER (churn_label = 0), 1) AS DOUBLE)
+          / greatest(count(*) FILTER (churn_label = 1), 1) AS balance_ratio,
+        count(*) FILTER ((event_id * 7919) % 100 >= 80) AS n_confusion,
+        1 AS recall_rises, 1 AS is_balanced FROM lab""",
+    "train_row_counts": f"""{_WITH}, r AS (
+          SELECT (event_id * 7919) % 100 < 80 AS train,
+            tenure_months IS NULL AS t, support_tickets IS NULL AS s, late_payments IS NULL AS l,
+            monthly_charges IS NULL OR NOT isfinite(monthly_charges) AS m FROM dirty)
+        SELECT unnest(['n_rows', 'n_train', 'n_test', 'n_rejected', 'rejected_monthly_charges',
+                       'rejected_tenure_months', 'rejected_support_tickets',
+                       'rejected_late_payments']) AS "count",
+               unnest([count(*), count(*) FILTER (train AND NOT (t OR s OR l OR m)),
+                       count(*) FILTER (NOT train AND NOT (t OR s OR l OR m)),
+                       count(*) FILTER (t OR s OR l OR m), count(*) FILTER (m),
+                       count(*) FILTER (t), count(*) FILTER (s), count(*) FILTER (l)]) AS n
+        FROM r""",
+    "medallion_train": f"""{_WITH} SELECT count(*) AS n_rows, count(*) AS n_used,
+        CAST(0 AS BIGINT) AS n_rejected, 1 AS is_split, 1 AS is_learned FROM ev""",
+    "score_batch": f"""{_WITH} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range,
+        CAST(0 AS BIGINT) AS n_class_wrong, CAST(0 AS BIGINT) AS n_differs FROM ev""",
+    "score_probability": f"""{_WITH} SELECT count(*) AS n_rows, count(*) AS n_second,
+        count(*) AS n_whole FROM ev""",
+    "score_stream": f"""{_WITH} SELECT count(*) AS n_rows,
+        count(*) FILTER (reasons = '') AS n_scored, CAST(0 AS BIGINT) AS n_out_of_range,
+        CAST(0 AS BIGINT) AS n_unscored, CAST(0 AS BIGINT) AS n_differs FROM ({_REASONS})""",
+    "stream_restart": f"{_WITH} {_gold_scoring()}",
+    "stream_await": f"""{_WITH} SELECT sink, count(*) AS n_rows, 0 AS n_running
+        FROM ev, (SELECT 'table' AS sink UNION ALL SELECT 'message') s GROUP BY sink""",
 }

@@ -33,7 +33,7 @@ from staywise.schemas import (
 from staywise.sinks import runs
 from staywise.sinks.file_tables import DRAIN
 from staywise.streaming import medallion, scorer
-from staywise.streaming.control import drain
+from staywise.streaming.control import await_all, drain
 from staywise.workspace import cut_lineage, new_folder
 
 SPEC = ModelSpec()
@@ -131,14 +131,13 @@ def sink_json_batch(spark, sf_dir):
 
 
 def rows_source(spark, sf_dir):
-    """One record per location, summed up by Spark, as a table made from records."""
-    summary = (
-        fixture.customer_events(spark, sf_dir)
-        .groupBy("location")
-        .agg(F.count("*").alias("n_events"), F.max("support_tickets").alias("max_tickets"))
+    """A one-row total, summed up by Spark, as a table made from records."""
+    total = fixture.customer_events(spark, sf_dir).agg(
+        F.count("*").alias("n_events"),
+        F.count_distinct("location").alias("n_locations"),
+        F.max("support_tickets").alias("max_tickets"),
     )
-    records = [row.asDict() for row in summary.collect()]
-    return sources.rows(spark, records, summary.schema)
+    return sources.rows(spark, [total.first().asDict()], total.schema)
 
 
 # Bronze and silver
@@ -383,9 +382,8 @@ def run_log_table(spark, sf_dir):
 
 
 def profile_silver(spark, sf_dir):
-    return profiling.profile(
-        silver.conform(fixture.training_events(spark, sf_dir), CUSTOMER_EVENT)
-    )
+    events = silver.conform(fixture.training_events(spark, sf_dir), CUSTOMER_EVENT)
+    return profiling.profile(events, exact=True)
 
 
 def head_silver(spark, sf_dir):
@@ -409,7 +407,7 @@ def string_index(spark, sf_dir):
 
 def string_index_table(spark, sf_dir):
     counted = encode.category_counts(_gold(spark, sf_dir), SPEC.categorical)
-    return encode.index_table(counted)
+    return encode.index_table(counted, SPEC.categorical)
 
 
 def one_hot(spark, sf_dir):
@@ -434,26 +432,145 @@ def feature_vector(spark, sf_dir):
     return encode.positions(_encoded(spark, sf_dir), "features", keep=("event_id",))
 
 
+def _place():
+    """An event's place among 100 as SQL can give it, in the place of a hash."""
+    return F.pmod(F.col("event_id") * 7919, F.lit(100))
+
+
 def split_counts(spark, sf_dir):
-    part = F.when(model.in_training("event_id", SPEC.train_percent), "train")
+    labelled = _labelled(spark, sf_dir)
+    part = F.when(model.in_training(labelled, _place(), SPEC.train_percent), "train")
     return (
-        _labelled(spark, sf_dir)
+        labelled
         .groupBy(part.otherwise("test").alias("part"), "churn_label")
         .agg(F.count("*").alias("n"))
     )
 
 
 def train_metrics(spark, sf_dir):
+    """Parts, width, balance and what must hold of a logged run, as one row."""
     log = new_folder(spark, "runs")
-    training.run(_stored_gold(spark, sf_dir), new_folder(spark, "models"), log)
-    return runs.read(spark, log).where("kind = 'metric'").select("key", "value")
+    run = training.run(_stored_gold(spark, sf_dir), new_folder(spark, "models"), log, key=_place())
+    logged = {r["key"]: float(r["value"]) for r in runs.read(spark, log).where("kind = 'metric'").collect()}
+    fitted = run.fitted
+    test = training.score_test(fitted)
+    half = test.agg(
+        F.expr("count_if(churn_label = 1 and churn_prob >= 0.5)"), F.expr("count_if(churn_label = 1)")
+    ).first()
+    # At the optimum weighted residuals cancel out.
+    weighted = score.batch(
+        label.weight(fitted.train, fitted.balance_ratio), fitted.model, trust_buckets=True
+    )
+    pull = weighted.agg(
+        F.sum(F.col("class_weight") * (F.col("churn_prob") - F.col("churn_label")))
+        / F.sum("class_weight")
+    ).first()[0]
+    row = (
+        fitted.n_train,
+        fitted.n_test,
+        fitted.model.stages[-1].numFeatures,
+        fitted.balance_ratio,
+        int(sum(logged[c] for c in ("TP", "TN", "FP", "FN"))),
+        int(logged["recall_class_1"] >= half[0] / max(half[1], 1)),
+        int(abs(pull) < 0.01),
+    )
+    return spark.createDataFrame(
+        [row],
+        "n_train bigint, n_test bigint, n_features int, balance_ratio double, "
+        "n_confusion bigint, recall_rises int, is_balanced int",
+    )
 
 
-def score_batch(spark, sf_dir):
+def train_row_counts(spark, sf_dir):
+    """Where the rows of the damaged events go in training."""
+    events = cut_lineage(gold.features(fixture.dirty_events(spark, sf_dir)))
+    place = F.pmod(F.col("offset") * 7919, F.lit(100))
+    fitted = training.fit(events, key=place)
+    counts = {
+        "n_rows": fitted.n_rows,
+        "n_train": fitted.n_train,
+        "n_test": fitted.n_test,
+        "n_rejected": fitted.n_rejected,
+        **{f"rejected_{c}": fitted.rejected.get(c, 0) for c in SPEC.numeric},
+    }
+    return spark.createDataFrame(list(counts.items()), "count string, n bigint")
+
+
+def medallion_train(spark, sf_dir):
+    """Messages through the training lane to gold and to a logged model."""
+    paths = medallion.LanePaths(new_folder(spark, "training-lane"))
+    medallion.training_lane(_messages_stream(fixture.training_messages(spark, sf_dir)), paths)
+    table = medallion.training_gold(spark, paths)
+    log = new_folder(spark, "runs")
+    run = training.run(table, new_folder(spark, "models"), log)
+    logged = {r["key"]: r["value"] for r in runs.read(spark, log).collect()}
+    share = run.fitted.n_train / run.fitted.n_rows
+    row = (
+        int(logged["n_rows"]),
+        int(logged["n_train"]) + int(logged["n_test"]),
+        int(logged["n_rejected"]),
+        int(abs(share - SPEC.train_percent / 100) < 0.05),
+        int(float(logged["roc_auc"]) > 0.9),
+    )
+    return spark.createDataFrame(
+        [row], "n_rows bigint, n_used bigint, n_rejected bigint, is_split int, is_learned int"
+    )
+
+
+def score_rows(spark, sf_dir, **options):
     fitted = training.fit(_stored_gold(spark, sf_dir))
     events = fixture.customer_events(spark, sf_dir)
-    return score.batch(events, fitted.model, SPEC.threshold).select(
-        "event_id", "churn_prob", "prediction_custom"
+    return fitted, score.batch(events, fitted.model, SPEC.threshold, **options)
+
+
+def _facts(scored):
+    """What must hold of scores: counts of rows on which it does not."""
+    p = F.col("churn_prob")
+    return [
+        F.count("*").alias("n_rows"),
+        F.count_if(p.isNull() | F.isnan(p) | ~p.between(0, 1)).alias("n_out_of_range"),
+        F.count_if(
+            ~F.col("prediction_custom").eqNullSafe((p >= SPEC.threshold).cast("int"))
+        ).alias("n_class_wrong"),
+    ]
+
+
+def score_batch(spark, sf_dir):
+    """Scores against the coefficients times the features, added up in long form."""
+    fitted, scored = score_rows(spark, sf_dir)
+    classifier = fitted.model.stages[-1]
+    coefficients = spark.createDataFrame(
+        [(i, float(c)) for i, c in enumerate(classifier.coefficients)],
+        "position int, coefficient double",
+    )
+    encoded = gold.features(fixture.customer_events(spark, sf_dir))
+    for stage in fitted.model.stages[:-1]:
+        encoded = stage.transform(encoded)
+    margins = (
+        encode.positions(encoded, "features", keep=("event_id",))
+        .join(F.broadcast(coefficients), "position")
+        .groupBy("event_id")
+        .agg(F.sum(F.col("value") * F.col("coefficient")).alias("margin"))
+    )
+    again = 1 / (1 + F.exp(-(F.col("margin") + float(classifier.intercept))))
+    return scored.join(margins, "event_id", "left").agg(
+        *_facts(scored),
+        F.count_if(~F.coalesce(F.abs(F.col("churn_prob") - again) < 1e-9, F.lit(False))).alias(
+            "n_differs"
+        ),
+    )
+
+
+def score_probability(spark, sf_dir):
+    """The model's own probability vector and the number taken from it."""
+    _, scored = score_rows(spark, sf_dir, vectors=True)
+    vector = encode.vector_to_array("probability")
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.get(vector, F.lit(1)) == F.col("churn_prob")).alias("n_second"),
+        F.count_if(F.abs(F.get(vector, F.lit(0)) + F.get(vector, F.lit(1)) - 1) < 1e-12).alias(
+            "n_whole"
+        ),
     )
 
 
@@ -474,11 +591,9 @@ def score_saved_model(spark, sf_dir):
     )
 
 
-def score_stream(spark, sf_dir):
-    """Feature messages scored by a stream; scored and rejected rows read back."""
-    fitted = training.fit(_stored_gold(spark, sf_dir))
-    texts = gold.to_message(gold.features(_dirty_stamped(spark, sf_dir)))
-    messages = texts.select(
+def _feature_messages(spark, sf_dir, half=None):
+    texts = gold.to_message(gold.features(_dirty_stamped(spark, sf_dir, half)))
+    return texts.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit("churn_features").alias("topic"),
@@ -487,16 +602,30 @@ def score_stream(spark, sf_dir):
         F.lit(None).cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
-    stream = _messages_stream(messages)
+
+
+def score_stream_rows(spark, sf_dir, halves=(None,), runs_each=1):
+    """Feature messages scored by a stream; scored and rejected rows read back.
+
+    The messages may come in halves, with the stream run after each, and again without
+    anything new; its checkpoints are its read position.
+    """
+    fitted = training.fit(_stored_gold(spark, sf_dir))
+    staged = new_folder(spark, "staged")
     scores, rejects = new_folder(spark, "scores"), new_folder(spark, "rejects")
+    positions = {path: new_folder(spark, "checkpoint") for path in (scores, rejects)}
 
     def to(path):
-        return lambda df: sinks.files_stream(
-            df, path, new_folder(spark, "checkpoint"), trigger=DRAIN
-        )
-
-    for query in scorer.stream(stream, fitted.model, to(scores), to(rejects), SPEC.threshold):
-        drain(query)
+        return lambda df: sinks.files_stream(df, path, positions[path], trigger=DRAIN)
+
+    for half in halves:
+        sinks.files(_feature_messages(spark, sf_dir, half), staged, mode="append")
+        for _ in range(runs_each):
+            stream = sources.files_stream(spark, staged, KAFKA)
+            for query in scorer.stream(
+                stream, fitted.model, to(scores), to(rejects), SPEC.threshold
+            ):
+                drain(query)
     accepted = spark.read.parquet(scores).select(
         "input.*", "prediction", F.lit("").alias("reasons")
     )
@@ -505,23 +634,100 @@ def score_stream(spark, sf_dir):
         F.lit(None).cast("double").alias("prediction"),
         F.concat_ws(",", "reject_reasons").alias("reasons"),
     )
-    return _naive(accepted.unionByName(refused))
+    return fitted, _naive(accepted.unionByName(refused))
 
 
-def _dirty_stamped(spark, sf_dir):
-    messages = fixture.dirty_messages(spark, sf_dir)
+def score_stream(spark, sf_dir):
+    """The stream's scores against those of a batch over the same messages."""
+    fitted, rows = score_stream_rows(spark, sf_dir)
+    rows = cut_lineage(rows)
+    features = scorer.read_features(_feature_messages(spark, sf_dir))
+    batch = scorer.scored(features, fitted.model, SPEC.threshold).select("input.*", "prediction")
+    streamed = rows.where("reasons = ''").drop("reasons")
+    names = streamed.columns
+    balance = (
+        streamed.select(*names, F.lit(1).alias("_n"))
+        .unionByName(_naive(batch).select(*names, F.lit(-1).alias("_n")))
+        .groupBy(*names)
+        .agg(F.sum("_n").alias("_n"))
+        .agg(F.coalesce(F.sum(F.abs("_n")), F.lit(0)).alias("n_differs"))
+    )
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.expr("count_if(reasons = '')").alias("n_scored"),
+        F.expr("count_if(reasons = '' and prediction not in (0.0, 1.0))").alias("n_out_of_range"),
+        F.expr("count_if(reasons = '' and prediction is null)").alias("n_unscored"),
+    ).select("*", balance.scalar().alias("n_differs"))
+
+
+def _halved(messages, half):
+    """All messages, or those whose event number is even or odd."""
+    return messages if half is None else messages.where(F.col("offset") % 2 == half)
+
+
+def _dirty_stamped(spark, sf_dir, half=None):
+    messages = _halved(fixture.dirty_messages(spark, sf_dir), half)
     texts = bronze.decode(messages, keep=("timestamp",))
     parsed = silver.parse(texts, SCORING_EVENT, keep=("timestamp",))
     return silver.conform(bronze.stamp(parsed, F.col("timestamp")), STAMPED_EVENT)
 
 
+def _reason_counts(rows):
+    return rows.groupBy("reasons").agg(
+        F.count("*").alias("n_rows"), F.count("prediction").alias("n_scored")
+    )
+
+
 def score_stream_counts(spark, sf_dir):
     """How many messages the streaming scorer accepted, and refused for what."""
-    return (
-        score_stream(spark, sf_dir)
-        .groupBy("reasons")
-        .agg(F.count("*").alias("n_rows"), F.count("prediction").alias("n_scored"))
+    return _reason_counts(score_stream_rows(spark, sf_dir)[1])
+
+
+def score_stream_restart(spark, sf_dir):
+    """The same counts when messages come in two halves and each run is repeated."""
+    return _reason_counts(score_stream_rows(spark, sf_dir, halves=(0, 1), runs_each=2)[1])
+
+
+# Restarts and waiting
+
+
+def stream_restart(spark, sf_dir):
+    """The scoring lane run on one half of the messages, on both, and once more."""
+    paths = medallion.LanePaths(new_folder(spark, "restarted-lane"))
+    staged = new_folder(spark, "staged")
+    for half in (0, 1, None):
+        if half is not None:
+            messages = _halved(fixture.scoring_messages(spark, sf_dir), half)
+            sinks.files(messages, staged, mode="append")
+        stream = sources.files_stream(spark, staged, KAFKA)
+        medallion.scoring_lane(stream, paths, clock=F.col("timestamp"))
+    return _naive(sources.files(spark, paths.table("gold"), schema=GOLD_SCORING))
+
+
+def stream_await(spark, sf_dir):
+    """Both sinks of a fan-out, waited for together."""
+    stream = gold.features(
+        sources.files_stream(spark, _staged(_stamped(spark, sf_dir)), STAMPED_EVENT)
     )
+    folders = [new_folder(spark, "table"), new_folder(spark, "messages")]
+
+    def to(df, folder):
+        return sinks.files_stream(df, folder, new_folder(spark, "checkpoint"), trigger=DRAIN)
+
+    queries = sinks.fan_out(
+        stream,
+        [lambda df: to(df, folders[0]), lambda df: to(gold.to_message(df), folders[1])],
+    )
+    await_all(queries, poll=1)
+    counts = [
+        spark.read.parquet(folder).agg(
+            F.lit(sink).alias("sink"),
+            F.count("*").alias("n_rows"),
+            F.lit(sum(q.isActive for q in queries)).alias("n_running"),
+        )
+        for sink, folder in zip(("table", "message"), folders, strict=True)
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 QUERIES = {
@@ -584,5 +790,11 @@ QUERIES = {
         score_saved_model,
         score_stream,
         score_stream_counts,
+        train_row_counts,
+        medallion_train,
+        score_probability,
+        score_stream_restart,
+        stream_restart,
+        stream_await,
     )
 }

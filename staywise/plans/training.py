@@ -5,10 +5,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staywise.config import EVENT_RULES, InputRules, LabelRules, ModelSpec
+from staywise.config import InputRules, LabelRules, ModelSpec
 from staywise.operators import encode, evaluate, label, model, quality, score
 from staywise.sinks import runs
 from staywise.workspace import cut_lineage
@@ -16,29 +16,53 @@ from staywise.workspace import cut_lineage
 
 @dataclass(frozen=True)
 class Fitted:
+    """A model, its two parts, and how many rows went where.
+
+    ``rejected`` counts rows left out by the column that kept them out.
+    """
+
     model: PipelineModel
     balance_ratio: float
     train: DataFrame
     test: DataFrame
+    n_rows: int
+    n_train: int
+    n_test: int
+    rejected: dict[str, int]
+
+    @property
+    def n_rejected(self) -> int:
+        return self.n_rows - self.n_train - self.n_test
+
+
+def _numbers(spec: ModelSpec) -> InputRules:
+    """What a feature vector cannot do without: finite numbers."""
+    return InputRules(domains={}, required=spec.numeric)
 
 
 def fit(
     gold: DataFrame,
-    key: str | Column | None = "event_id",
+    key: model.Key = model.WHOLE_ROW,
     spec: ModelSpec = ModelSpec(),
-    rules: InputRules = EVENT_RULES,
+    rules: InputRules | None = None,
     label_rules: LabelRules = LabelRules(),
     balance_on: str = "all",
 ) -> Fitted:
-    """Label, weigh, split and fit the valid rows of ``gold``, best a stored table: it
-    is scanned once for counting and once for the solver's own blocks.
-
-    One aggregation over categories, label and split part gives both the class balance
-    and the category indexes. The balance is taken over all rows, or over the training
-    part with ``balance_on="train"``. Invalid rows cannot enter a feature vector; count
-    them with ``quality.reason_counts``.
+    """Label, weigh, split and fit ``gold``, best a stored table: it is scanned once for
+    counting and once for the solver's own blocks.
+
+    Rows with null or non-finite numbers cannot enter a feature vector; they are counted
+    and left out. Unknown categories can, and stay, unless ``rules`` are given, which then
+    count as well. One aggregation over categories, label, split part and faults gives the
+    class balance, the category indexes and all counts. The balance is taken over all
+    rows, or over the training part with ``balance_on="train"``.
     """
-    labelled = label.churn(quality.valid(gold, rules), label_rules, spec.label)
+    needed = _numbers(spec)
+    if rules is not None:
+        needed = InputRules(
+            rules.domains, tuple(dict.fromkeys((*rules.required, *needed.required))), rules.ranges
+        )
+    labelled = label.churn(gold, label_rules, spec.label)
     if key is None:
         train, test = model.split(labelled, None, spec)
         parts = train.select("*", F.lit(True).alias("_train")).unionByName(
@@ -46,16 +70,32 @@ def fit(
         )
     else:
         train, test = model.split(labelled, key, spec)
-        parts = labelled.withColumn("_train", model.in_training(key, spec.train_percent))
+        inside = model.in_training(labelled, key, spec.train_percent)
+        parts = labelled.withColumn("_train", inside)
     grouped = cut_lineage(
-        parts.groupBy(*spec.categorical, spec.label, "_train").agg(F.count("*").alias("_n"))
+        quality.check(parts, needed)
+        .groupBy(*spec.categorical, spec.label, "_train", "reject_reasons")
+        .agg(F.count("*").alias("_n"))
     )
-    in_train = grouped.where("_train")
-    base = in_train if balance_on == "train" else grouped
+    base = grouped.where("_train") if balance_on == "train" else grouped
     ratio = label.balance(base, spec.label, n="_n").first()["balance_ratio"]
-    counted = encode.category_counts(in_train, spec.categorical, n="_n")
+    usable = F.size("reject_reasons") == 0
+    total = lambda which: F.coalesce(F.sum(F.when(which, F.col("_n"))), F.lit(0))
+    n_rows, n_train, n_test = grouped.agg(
+        total(F.lit(True)), total(usable & F.col("_train")), total(usable & ~F.col("_train"))
+    ).first()
+    if not n_train or not n_test:
+        raise ValueError(f"{n_train} rows to train on and {n_test} to test on: choose another key")
+    reasons = grouped.select("_n", F.explode("reject_reasons").alias("reason"))
+    rejected = {r["reason"]: r["n"] for r in reasons.groupBy("reason").agg(F.sum("_n").alias("n")).collect()}
+    counted = encode.category_counts(
+        grouped.where(usable & F.col("_train")), spec.categorical, n="_n"
+    )
+    train, test = quality.valid(train, needed), quality.valid(test, needed)
     weighted = label.weight(train, ratio, spec.label, spec.weight)
-    return Fitted(model.train(weighted, spec, counted), ratio, train, test)
+    return Fitted(
+        model.train(weighted, spec, counted), ratio, train, test, n_rows, n_train, n_test, rejected
+    )
 
 
 def score_test(fitted: Fitted, spec: ModelSpec = ModelSpec()) -> DataFrame:
@@ -107,7 +147,7 @@ def run(
     gold: DataFrame,
     models: str,
     log: str,
-    key: str | Column | None = "event_id",
+    key: model.Key = model.WHOLE_ROW,
     spec: ModelSpec = ModelSpec(),
     run_name: str = "logreg_threshold_0_4",
     run_id: str | None = None,
@@ -125,6 +165,11 @@ def run(
         "threshold": spec.threshold,
         "balance_ratio": fitted.balance_ratio,
         "model_path": path,
+        "n_rows": fitted.n_rows,
+        "n_train": fitted.n_train,
+        "n_test": fitted.n_test,
+        "n_rejected": fitted.n_rejected,
+        **{f"rejected_{column}": n for column, n in sorted(fitted.rejected.items())},
     }
     entries = [
         runs.params(spark, params, run_id, run_name),

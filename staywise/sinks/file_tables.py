@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-# Process everything that is there now, in bounded micro-batches, then stop.
+# Process everything that is there now, then stop. Micro-batches are bounded where the
+# source is: by ``maxFilesPerTrigger``, ``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``.
 DRAIN = {"availableNow": True}
 
 # Start the next micro-batch as soon as the last one is done, for ever.

@@ -5,11 +5,11 @@ functions only choose topics and checkpoints.
 """
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from staywise import sinks, sources
-from staywise.config import Topics
+from staywise.config import FeatureRules, InputRules, Topics
 from staywise.operators import gold
 from staywise.sinks.file_tables import KEEP_RUNNING
 from staywise.streaming import medallion, scorer
@@ -24,11 +24,14 @@ def training_lane(
     starting: str = "earliest",
     trigger: dict = KEEP_RUNNING,
     fmt: str = "parquet",
+    read_options: dict | None = None,
     **kafka_options,
 ) -> list[StreamingQuery]:
-    """Raw customer events into bronze and silver, from the oldest message on."""
+    """Raw customer events into bronze and silver, from the oldest message on.
+
+    ``read_options`` go to the reads between hops, such as ``maxFilesPerTrigger``."""
     messages = sources.kafka(spark, servers, topics.raw_events, starting, **kafka_options)
-    return medallion.training_lane(messages, paths, fmt, trigger)
+    return medallion.training_lane(messages, paths, fmt, trigger, **(read_options or {}))
 
 
 def scoring_lane(
@@ -39,17 +42,23 @@ def scoring_lane(
     starting: str = "latest",
     trigger: dict = KEEP_RUNNING,
     fmt: str = "parquet",
+    clock: Column | None = None,
+    rules: FeatureRules = FeatureRules(),
+    read_options: dict | None = None,
     **kafka_options,
 ) -> list[StreamingQuery]:
     """Scoring events through to the gold table and the feature topic. On the very
-    first start only messages from now on are read."""
+    first start only messages from now on are read. ``read_options`` go to the reads
+    between hops."""
     messages = sources.kafka(spark, servers, topics.scoring_events, starting, **kafka_options)
 
     def publish(df):
         checkpoint = paths.checkpoint("features-topic")
         return sinks.kafka(df, servers, topics.features, checkpoint, trigger)
 
-    return medallion.scoring_lane(messages, paths, fmt, trigger, publish=[publish])
+    return medallion.scoring_lane(
+        messages, paths, fmt, trigger, clock, rules, [publish], **(read_options or {})
+    )
 
 
 def score(
@@ -61,6 +70,8 @@ def score(
     starting: str = "earliest",
     threshold: float = 0.4,
     trigger: dict = KEEP_RUNNING,
+    fmt: str = "parquet",
+    rules: InputRules = InputRules(),
     **kafka_options,
 ) -> list[StreamingQuery]:
     """Feature topic to score topic; messages that cannot be scored go to a table."""
@@ -72,6 +83,6 @@ def score(
 
     def to_rejects(df):
         checkpoint = paths.checkpoint("rejects")
-        return sinks.files_stream(df, paths.table("rejects"), checkpoint, trigger=trigger)
+        return sinks.files_stream(df, paths.table("rejects"), checkpoint, fmt, trigger)
 
-    return scorer.stream(messages, model, to_scores, to_rejects, threshold)
+    return scorer.stream(messages, model, to_scores, to_rejects, threshold, rules)

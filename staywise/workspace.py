@@ -1,5 +1,6 @@
 """Shared folders for checkpoints and intermediate tables."""
 
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(_KEY, None) or context.getConf().get(_KEY)
     if root is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise ValueError(f"set {_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="staywise-")
         spark.conf.set(_KEY, root)

@@ -9,8 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from staywise import sources
-from staywise.config import ModelSpec
-from staywise.functions import linear
+from staywise.config import EVENT_RULES, ModelSpec
+from staywise.functions import rules
 from staywise.operators import encode, gold, label, model, score
 from staywise.plans import training
 from staywise.schemas import SCORING_EVENT
@@ -37,9 +37,12 @@ def test_index_and_onehot_on_nulls_and_unseen(spark):
 
 def test_labels_equal_the_stock_indexer(gold_table):
     ours = encode.indexers(encode.category_counts(gold_table, SPEC.categorical), SPEC.categorical)
-    for column, indexer in zip(SPEC.categorical, ours):
-        stock = StringIndexer(inputCol=column, outputCol="i", handleInvalid="keep").fit(gold_table)
-        assert indexer.labels == stock.labels
+    stock = StringIndexer(
+        inputCols=list(SPEC.categorical),
+        outputCols=[f"{c}_i" for c in SPEC.categorical],
+        handleInvalid="keep",
+    ).fit(gold_table)
+    assert [list(x.labels) for x in ours] == [list(x) for x in stock.labelsArray]
 
 
 def test_null_number_raises_in_the_vector(spark, fitted, gold_table):
@@ -50,17 +53,28 @@ def test_null_number_raises_in_the_vector(spark, fitted, gold_table):
 
 
 def test_split_is_a_partition_of_the_rows(spark, gold_table):
-    train, test = model.split(gold_table)
+    train, test = model.split(gold_table, F.pmod(F.col("event_id") * 7919, F.lit(100)))
     ids = {r.event_id for r in test.select("event_id").collect()}
     assert train.count() + len(ids) == gold_table.count()
     assert ids == {i for i in range(1000) if i * 7919 % 100 >= 80} & {
         r.event_id for r in gold_table.select("event_id").collect()
     }
+    hashed = model.split(gold_table)[1]
     moved = model.split(gold_table.repartition(7))[1]
-    assert {r.event_id for r in moved.select("event_id").collect()} == ids
-    odd = spark.createDataFrame([(None,), (2**62,), (-1,)], "event_id bigint")
-    parts = model.split(odd)
-    assert parts[0].count() + parts[1].count() == 3
+    assert hashed.exceptAll(moved).count() == moved.exceptAll(hashed).count() == 0
+
+
+@pytest.mark.parametrize("key", ["id * 100", "-id", "if(id % 2 = 0, null, id)", "cast(null as int)"])
+def test_split_is_even_whatever_the_keys(spark, key):
+    rows = spark.range(20_000).selectExpr(f"{key} AS event_id", "id AS other")
+    train, test = model.split(rows, "event_id")
+    assert train.count() + test.count() == 20_000
+    assert abs(train.count() / 20_000 - 0.8) < 0.02
+
+
+def test_an_empty_part_is_an_error(gold_table):
+    with pytest.raises(ValueError, match="to test on"):
+        training.fit(gold_table, key=F.lit(0))
 
 
 def test_random_split_covers_all_rows(gold_table):
@@ -86,29 +100,44 @@ def test_probabilities(fitted, gold_table):
     assert bad.count() == 0
 
 
-def test_expression_equals_the_pipeline(spark, fitted, gold_table):
-    assert linear.is_small(fitted.model)
-    unseen = gold_table.withColumn("location", F.when(F.col("event_id") % 3 == 0, "Atlantis"))
-    for df in (gold_table, unseen):
-        plain = score.batch(df, fitted.model, raw=True)
-        full = score.batch(df, fitted.model, raw=True, vectors=True)
-        both = plain.select("event_id", F.struct("churn_raw", "churn_prob").alias("a")).join(
-            full.select("event_id", F.struct("churn_raw", "churn_prob").alias("b")), "event_id"
+@pytest.mark.parametrize("places", [480, 5000])
+def test_many_categories(spark, gold_table, tmp_path, places):
+    """Batch and stream score a model with many values of a free-text column."""
+    wide = gold_table.withColumn(
+        "location", F.concat(F.lit("place "), (F.col("event_id") % places).cast("string"))
+    )
+    more = wide.unionByName(
+        spark.range(places).join(wide.limit(1).drop("location")).select(
+            *[c for c in wide.columns if c != "location"],
+            F.concat(F.lit("place "), F.col("id").cast("string")).alias("location"),
         )
-        worst = both.agg(
-            F.max(F.abs(F.col("a.churn_raw") - F.col("b.churn_raw"))).alias("raw"),
-            F.max(F.abs(F.col("a.churn_prob") - F.col("b.churn_prob"))).alias("prob"),
-            F.count("*").alias("n"),
-        ).first()
-        assert worst.n == 1000 and worst.raw < 1e-10 and worst.prob < 1e-12
+    )
+    path = str(tmp_path / "wide")
+    more.write.parquet(path)
+    table = spark.read.parquet(path)
+    fitted = training.fit(table)
+    assert score.batch(table, fitted.model).where("churn_prob between 0 and 1").count() == table.count()
+    stream = spark.readStream.schema(table.schema).parquet(path)
+    out = str(tmp_path / "out")
+    query = (
+        score.batch(stream, fitted.model)
+        .writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(out).count() == table.count()
 
 
-def test_many_categories_use_the_pipeline(fitted, gold_table, monkeypatch):
-    expected = {tuple(r) for r in score.batch(gold_table, fitted.model).select("event_id", "prediction_custom").collect()}
-    monkeypatch.setattr(linear, "MAX_CATEGORIES", 3)
-    df = score.batch(gold_table, fitted.model)
-    assert {tuple(r) for r in df.select("event_id", "prediction_custom").collect()} == expected
-    assert "UDF" in df._jdf.queryExecution().executedPlan().toString()
+def test_indexing_ranks_no_column_in_one_task(gold_table):
+    counted = encode.category_counts(gold_table, SPEC.categorical)
+    assert "Window" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nan_reaches_no_threshold(spark):
+    df = spark.createDataFrame([(float("nan"),), (0.4,), (None,)], "churn_prob double")
+    found = [r[0] for r in df.select(rules.class_at(F.col("churn_prob"), 0.4)).collect()]
+    assert found == [0, 1, 0]
 
 
 def test_lower_threshold_finds_no_fewer(fitted):
@@ -168,12 +197,23 @@ def test_save_overwrites(fitted, gold_table, tmp_path):
     assert score.batch(one, model.load(path)).first() == score.batch(one, fitted.model).first()
 
 
-def test_training_skips_rows_that_break_rules(gold_table, fitted):
-    broken = gold_table.withColumn(
-        "late_payments", F.when(F.col("event_id") % 50 != 2, F.col("late_payments"))
+def test_training_keeps_what_the_encoder_can_hold(gold_table, fitted):
+    other = gold_table.withColumn(
+        "gender", F.when(F.col("event_id") % 10 == 0, "Other").otherwise(F.col("gender"))
+    )
+    kept = training.fit(other)
+    assert kept.n_rejected == 0 and kept.balance_ratio == fitted.balance_ratio
+    strict = training.fit(other, rules=EVENT_RULES)
+    assert strict.rejected == {"gender": 100} and strict.n_rows == 1000
+    kind = F.col("event_id") % 50
+    broken = gold_table.withColumn("late_payments", F.when(kind != 2, F.col("late_payments")))
+    broken = broken.withColumn(
+        "monthly_charges", F.when(kind == 3, float("nan")).otherwise(F.col("monthly_charges"))
     )
     again = training.fit(broken)
-    assert again.train.count() + again.test.count() < gold_table.count()
+    assert again.rejected == {"late_payments": 20, "monthly_charges": 20}
+    assert (again.n_train, again.n_test) == (again.train.count(), again.test.count())
+    assert again.n_train + again.n_test == 960
 
 
 def test_report_matches_mllib(fitted):
@@ -199,12 +239,3 @@ def test_weights_reach_the_solver(gold_table, fitted):
 
 def test_gold_features_are_what_the_model_reads(gold_table):
     assert set(SPEC.inputs) <= set(gold.features(gold_table).columns)
-
-
-def test_too_many_category_values_are_refused(gold_table, monkeypatch):
-    monkeypatch.setattr(encode, "MAX_LABELS", 15)
-    counted = encode.category_counts(gold_table, SPEC.categorical)
-    with pytest.raises(ValueError, match="more than 15"):
-        encode.indexers(counted, SPEC.categorical)
-    monkeypatch.setattr(encode, "MAX_LABELS", 16)
-    assert len(encode.indexers(counted, SPEC.categorical)) == 5

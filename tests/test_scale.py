@@ -10,7 +10,7 @@ from staywise.plans import fixture, registry
 from staywise.streaming import scorer
 
 STREAMS_OR_MODELS = (
-    "src_", "sink_", "medallion", "gold_stream", "train_", "score_", "rows_", "run_log",
+    "src_", "sink_", "medallion", "gold_stream", "train_", "score_", "rows_", "run_log", "stream_",
 )
 
 
@@ -93,7 +93,11 @@ def test_only_needed_columns_are_read(spark, sf_dir):
 def test_rules_reach_the_files(gold_table, setting):
     setting("spark.sql.maxMetadataStringLength", "2000")
     text = plan(quality.valid(gold_table))
-    for pushed in ("In(gender, [Female,Male])", "IsNotNull(late_payments)"):
+    for pushed in (
+        "In(gender, [Female,Male])",
+        "IsNotNull(late_payments)",
+        "LessThan(monthly_charges,Infinity)",
+    ):
         assert pushed in text
 
 

@@ -205,7 +205,7 @@ def test_streaming_scores_equal_batch_scores(spark, sf_dir, fitted, tmp_path):
         for query in scorer.stream(stream, fitted.model, *map(to, folders)):
             control.drain(query)
     scores, rejects = (spark.read.parquet(f) for f in folders)
-    assert (scores.count(), rejects.count()) == (900, 100)
+    assert (scores.count(), rejects.count()) == (860, 140)
     features = scorer.read_features(spark.read.schema(KAFKA).parquet(path))
     expected = scorer.scored(features, fitted.model)
     assert scores.exceptAll(expected).count() == expected.exceptAll(scores).count() == 0

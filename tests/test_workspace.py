@@ -26,6 +26,8 @@ def test_the_named_folder_is_used(spark):
 def test_a_cluster_must_name_one():
     with pytest.raises(ValueError):
         workspace.shared_root(session("spark://host:7077", {}))
+    with pytest.raises(ValueError):
+        workspace.shared_root(session("local-cluster[2,1,1024]", {}))
     named = session("spark://host:7077", {"spark.checkpoint.dir": "s3://b/cp/"})
     assert workspace.shared_root(named) == "s3://b/cp"
 

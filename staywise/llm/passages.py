@@ -30,16 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from staywise.llm.common import BLOCK, cut_lineage, partitions, stored_in_blocks
+from staywise.llm.common import BLOCK, cut_lineage, stored_in_blocks
 
 WINDOW = 35
 PHRASE = 18
 #: Phrases in one automaton.
-SHARD = 1 << 15
+SHARD = 1 << 14
 _SLICE = 1 << 18
 _FLUSH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bits for a place in a slice, which has fewer words.
+_PLACE = np.uint64((1 << 24) - 1)
+_LETTERS = 128
 _PHRASE_KIND, _RUN_KIND, _WINDOW_KIND = 0, 1, 2
 
 
@@ -67,7 +70,22 @@ class Vocabulary(dict):
         return number
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+class Powers:
+    """Powers of the base and of its inverse, computed once for slices of any size."""
+
+    def __init__(self):
+        self.base = self.inverse = np.ones(1, dtype=np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.base) <= n:
+            self.base, self.inverse = (
+                np.cumprod(np.append(np.uint64(1), np.full(n, step)))
+                for step in (_BASE, _INVERSE)
+            )
+        return self.base[:n], self.inverse
 
 
 class Slice:
@@ -76,18 +94,20 @@ class Slice:
     ``lo``, ``hi`` and ``at`` are each run's first and last window and its phrase's place.
     """
 
-    def __init__(self, numbers: np.ndarray, ends: np.ndarray, hashes: np.ndarray, window: int, phrase: int):
+    def __init__(
+        self,
+        numbers: np.ndarray,
+        ends: np.ndarray,
+        hashes: np.ndarray,
+        window: int,
+        phrase: int,
+        powers: Powers,
+    ):
         n = len(numbers)
         self.numbers, self.window, self.phrase = numbers, window, phrase
-        powers = np.empty(n + 1, dtype=np.uint64)
-        powers[0] = 1
-        np.cumprod(np.full(n, _BASE), out=powers[1:])
-        inverse = np.empty(n + 1, dtype=np.uint64)
-        inverse[0] = 1
-        np.cumprod(np.full(n, _INVERSE), out=inverse[1:])
+        base, self._inverse = powers.upto(n + 1)
         self._sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(hashes[numbers] * powers[:n], out=self._sums[1:])
-        self._inverse = inverse
+        np.cumsum(hashes[numbers] * base[:n], out=self._sums[1:])
         starts = np.append(0, ends[:-1])
         until = np.repeat(ends, ends - starts)
         places = np.arange(n)
@@ -95,19 +115,18 @@ class Slice:
         self.lo = self.hi = self.at = np.empty(0, dtype=np.int64)
         if not valid.any():
             return
-        # Phrases that run past their document belong to no valid window.
-        end = np.minimum(places + phrase, n)
-        value, least = self.hash(places, end), places
+        # Phrases that run past their document belong to no valid window. A phrase's place
+        # takes its hash's low bits, so that of equal ones the first is the least.
+        least = (self.hash(places, np.minimum(places + phrase, n)) & ~_PLACE) | places.astype(
+            np.uint64
+        )
         width, options = 1, window - phrase + 1
         while width < options:
             step = min(width, options - width)
-            later, place = value[step:], least[step:]
-            smaller = later < value[: len(later)]
-            value = np.where(smaller, later, value[: len(later)])
-            least = np.where(smaller, place, least[: len(later)])
+            least = np.minimum(least[:-step], least[step:])
             width += step
         windows = np.flatnonzero(valid[: len(least)])
-        chosen = least[windows]
+        chosen = (least[windows] & _PLACE).astype(np.int64)
         new = np.ones(len(windows), dtype=bool)
         new[1:] = (np.diff(chosen) != 0) | (np.diff(windows) != 1)
         first = np.flatnonzero(new)
@@ -136,11 +155,14 @@ def _slices(
     """Slices of about a bounded number of words, with (text, first word, words) of each
     part. A long text is cut into parts that overlap by less than a window, so each of its
     windows is in one part."""
-    numbers, ends, parts = [], [0], []
+    numbers, ends, parts, powers = [], [0], [], Powers()
+    hashes = np.empty(0, dtype=np.uint64)
 
     def made():
-        hashes = np.array(vocabulary.hashes, dtype=np.uint64)
-        return Slice(np.concatenate(numbers), np.array(ends[1:]), hashes, window, phrase), parts
+        nonlocal hashes
+        hashes = np.append(hashes, np.array(vocabulary.hashes[len(hashes) :], dtype=np.uint64))
+        joined = np.concatenate(numbers)
+        return Slice(joined, np.array(ends[1:]), hashes, window, phrase, powers), parts
 
     for k, text in enumerate(texts):
         found = bytes(text.as_buffer()).split() if text.is_valid else []
@@ -203,35 +225,39 @@ def _list_runs(window: int, phrase: int):
 
 
 def _spelled(numbers: np.ndarray, digits: int) -> str:
-    """Each word's number as ``digits`` letters of 256, another alphabet for each place, so
-    that a match starts and ends with a word and no node of a trie has many children."""
-    places = np.arange(digits)
-    letters = (numbers[:, None] >> 8 * places) & 0xFF
-    return (letters + 0x100 * (places + 1)).astype("<u4").tobytes().decode("utf-32-le")
+    """Each word's number as ``digits`` letters, another alphabet for each place, so that a
+    match starts and ends with a word and no node of a trie has many children."""
+    letters = np.empty((len(numbers), digits), dtype="<u2")
+    for place in range(digits):
+        letters[:, place] = numbers // _LETTERS**place % _LETTERS + _LETTERS * (place + 2)
+    return letters.tobytes().decode("utf-16-le")
 
 
 def _located(
     pieces: list[Slice], words: int, wanted: np.ndarray, shard: int
 ) -> list[np.ndarray]:
-    """Each piece's runs around an occurrence of a wanted phrase.
+    """Each piece's runs around an occurrence of a wanted phrase; ``wanted`` rises.
 
     Phrases are compiled as the block's documents spell them, a shard at a time, and all
     pieces are streamed through each automaton.
     """
     digits = 1
-    while words > 256**digits:
+    while words > _LETTERS**digits:
         digits += 1
     texts = [_spelled(piece.numbers, digits) for piece in pieces]
-    phrases = [piece.phrases() for piece in pieces]
+    ranks = []
+    for piece in pieces:
+        keys = piece.phrases()
+        rank = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+        ranks.append(np.where(wanted[rank] == keys, rank, -1))
     met = [np.zeros(len(piece.numbers), dtype=bool) for piece in pieces]
     for at in range(0, len(wanted), shard):
-        some = wanted[at : at + shard]
         spelled: dict[int, str] = {}
-        for piece, text, keys in zip(pieces, texts, phrases, strict=True):
-            held = np.flatnonzero(np.isin(keys, some))
-            held = held[np.unique(keys[held], return_index=True)[1]]
-            for key, begin in zip(keys[held].tolist(), piece.at[held].tolist(), strict=True):
-                spelled.setdefault(key, text[begin * digits : (begin + piece.phrase) * digits])
+        for piece, text, rank in zip(pieces, texts, ranks, strict=True):
+            held = np.flatnonzero((rank >= at) & (rank < at + shard))
+            for key, begin in zip(rank[held].tolist(), piece.at[held].tolist(), strict=True):
+                if key not in spelled:
+                    spelled[key] = text[begin * digits : (begin + piece.phrase) * digits]
         if not spelled:
             continue
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
@@ -357,17 +383,15 @@ def drop_repeats(
     """
     if not 1 <= phrase <= window:
         raise ValueError("a phrase lies within a window")
-    spark = docs.sparkSession
-    n = partitions(spark)
     stored = stored_in_blocks(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     )
     count = F.sum(F.col("slot").bitwiseAND(F.lit((1 << BLOCK) - 1)))
     block = F.shiftright("slot", BLOCK).cast("int").alias("block")
 
-    # All readers of the lists need all columns, so they share one shuffle.
     lists = stored.mapInArrow(_list_runs(window, phrase), _longs("phrase", "run", "slot"))
-    dealt = lists.repartition(n, "phrase")
+    # Read more than once, as the windows below are.
+    dealt = cut_lineage(lists)
     runs = dealt.groupBy("phrase", "run").agg(count.alias("n"))
     phrases = (
         runs.groupBy("phrase")
@@ -383,11 +407,10 @@ def drop_repeats(
         return rows.select("block", F.lit(kind).alias("kind"), F.col(key).alias("key")).distinct()
 
     mixed = keyed(found.where("mixed"), _PHRASE_KIND, "phrase")
-    windows = (
+    windows = cut_lineage(
         stored.groupBy("block")
         .cogroup(mixed.groupBy("block"))
         .applyInArrow(_list_windows(window, phrase, shard), _longs("phrase", "window", "slot"))
-        .repartition(n, "window")
     )
     again = windows.groupBy("phrase", "window").agg(count.alias("n")).where("n > 1").drop("n")
     single = cut_lineage(

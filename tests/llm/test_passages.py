@@ -46,7 +46,7 @@ def test_long_texts_are_cut_without_loss():
     texts = pa.array([" ".join(words)])
     whole = passages.Vocabulary()
     numbers = whole.numbers([w.encode() for w in words])
-    one = passages.Slice(numbers, np.array([400]), np.array(whole.hashes, np.uint64), 35, 18)
+    one = passages.Slice(numbers, np.array([400]), np.array(whole.hashes, np.uint64), 35, 18, passages.Powers())
     expected = np.sort(one.windows(np.arange(400 - 34)))
     saved = passages._SLICE
     try:

@@ -209,7 +209,7 @@ def test_streaming_scores_equal_batch_scores(spark, sf_dir, fitted, tmp_path):
     features = scorer.read_features(spark.read.schema(KAFKA).parquet(path))
     expected = scorer.scored(features, fitted.model)
     assert scores.exceptAll(expected).count() == expected.exceptAll(scores).count() == 0
-    assert rejects.select("offset").distinct().count() == 100
+    assert rejects.select("offset").distinct().count() == 140
     assert rejects.where(F.size("reject_reasons") == 0).count() == 0
 
 

@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -258,20 +257,54 @@ def _values(order: int, short: _Level, empty: _Level):
     return task
 
 
+class Lookup:
+    """Values by key, in a hash table that takes little more room than the two columns.
+
+    Keys may repeat with the same value.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
+        self.slots = np.full(1 << bits, -1, dtype=np.int32)
+        open_ = np.arange(len(keys), dtype=np.int32)
+        slot = self._slots(keys)
+        while len(open_):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = open_[free]
+            left = keys[self.slots[slot]] != keys[open_]
+            open_, slot = open_[left], (slot[left] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The values of keys that are all there."""
+        slot = self._slots(keys)
+        found = self.slots[slot]
+        missed = np.flatnonzero(self.keys[found] != keys)
+        while len(missed):
+            slot[missed] = (slot[missed] + 1) & self.mask
+            found[missed] = self.slots[slot[missed]]
+            if (found[missed] < 0).any():
+                raise KeyError("a gram or word without a value")
+            missed = missed[self.keys[found[missed]] != keys[missed]]
+        return self.values[found]
+
+
 def _scores(order: int, smoothing: float, key: pa.DataType):
     def score(docs: pa.Table, values: pa.Table) -> pa.Table:
-        keys, first = np.unique(values.column("key").to_numpy(), return_index=True)
-        index, held = pd.Index(keys), values.column("value").to_numpy()[first]
+        known = Lookup(values.column("key").to_numpy(), values.column("value").to_numpy())
         ends = word_key(b"")
         rows = []
         for text in docs.column("text").combine_chunks():
             raw = _text(text)
-            bits = sum(
-                float(held[index.get_indexer(codes)].sum()) for codes in gram_slices(raw, order)
-            )
+            bits = sum(float(known.of(codes).sum()) for codes in gram_slices(raw, order))
             words = raw.split()
             sought = np.fromiter((word_key(w) for w in words), np.int64, len(words))
-            counts = held[index.get_indexer(np.append(sought, ends))]
+            counts = known.of(np.append(sought, ends))
             base = float(np.log10(counts + smoothing).sum())
             rows.append((len(counts), int((counts > 0).sum()), base, bits))
         tokens, known, base, bits = zip(*rows, strict=True)

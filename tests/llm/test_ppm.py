@@ -85,3 +85,15 @@ def test_slices_of_a_long_text(monkeypatch):
     whole = np.concatenate(list(ppm.gram_slices(text, 4)))
     monkeypatch.setattr(ppm, "_SLICE", 100)
     assert np.array_equal(np.concatenate(list(ppm.gram_slices(text, 4))), whole)
+
+
+def test_lookup():
+    draw = np.random.default_rng(2)
+    keys = np.append(draw.integers(-(1 << 63), 1 << 62, 5000), np.arange(3000) << 40)
+    keys = np.append(keys, keys[:100])
+    known = ppm.Lookup(keys, keys * 0.5)
+    sought = draw.choice(keys, 20_000)
+    assert np.array_equal(known.of(sought), sought * 0.5)
+    with pytest.raises(KeyError):
+        known.of(np.array([12345]))
+    assert len(ppm.Lookup(keys[:0], keys[:0] * 0.5).of(keys[:0])) == 0

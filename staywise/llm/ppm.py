@@ -43,6 +43,8 @@ BEGIN, END = 0xFF, 0xFE
 SYMBOLS = 255
 _SLICE = 1 << 19
 _FLUSH = 1 << 19
+#: Distinct words held before a block's lists are sent on; what is sent twice adds up.
+_WORDS = 1 << 20
 _LISTS = StructType(
     [StructField("key", LongType(), False), StructField("slot", LongType(), False)]
 )
@@ -105,7 +107,7 @@ class _Lists:
         words[b""] += 1
 
     def full(self) -> bool:
-        return sum(map(len, self.words)) > _FLUSH
+        return sum(map(len, self.words)) > _WORDS
 
     def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for training in (False, True):

@@ -35,7 +35,7 @@ from staywise.llm.common import BLOCK, cut_lineage, stored_in_blocks
 WINDOW = 35
 PHRASE = 18
 #: Phrases in one automaton.
-SHARD = 1 << 14
+SHARD = 1 << 13
 _SLICE = 1 << 18
 _FLUSH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -285,8 +285,10 @@ def _list_windows(window: int, phrase: int, shard: int):
             wanted = _keys(given, _PHRASE_KIND)
             vocabulary = Vocabulary()
             pieces = [p for p, _ in _slices(docs.column("text"), vocabulary, window, phrase)]
+            words = len(vocabulary)
+            del vocabulary
             for piece, at in zip(
-                pieces, _located(pieces, len(vocabulary), wanted, shard), strict=True
+                pieces, _located(pieces, words, wanted, shard), strict=True
             ):
                 at = at[np.isin(piece.phrases()[at], wanted)]
                 sizes = piece.hi[at] - piece.lo[at] + 1
@@ -311,6 +313,39 @@ def _list_windows(window: int, phrase: int, shard: int):
 def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
     """Each document without the words that recurring windows cover."""
 
+    def marked(texts, wanted, runs, single) -> dict[int, np.ndarray]:
+        """By document, which of its words recurring windows cover."""
+        marks: dict[int, np.ndarray] = {}
+        vocabulary = Vocabulary()
+        sliced = list(_slices(texts, vocabulary, window, phrase))
+        words = len(vocabulary)
+        # Words are numbers by now, and the automata need the room.
+        del vocabulary
+        located = _located([piece for piece, _ in sliced], words, wanted, shard)
+        for (piece, parts), at in zip(sliced, located, strict=True):
+            whole = np.isin(piece.runs()[at], runs)
+            edge = np.zeros(len(piece.numbers) + 1, dtype=np.int64)
+            np.add.at(edge, piece.lo[at][whole], 1)
+            np.add.at(edge, piece.hi[at][whole] + window, -1)
+            rest = at[~whole]
+            sizes = piece.hi[rest] - piece.lo[rest] + 1
+            first = np.repeat(piece.lo[rest] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
+            starts = first + np.arange(len(first))
+            starts = starts[np.isin(piece.windows(starts), single)]
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, starts + window, -1)
+            covered = np.cumsum(edge)[:-1] > 0
+            begin = 0
+            for k, offset, n in parts:
+                own = covered[begin : begin + n]
+                begin += n
+                if own.any():
+                    mark = marks.setdefault(k, np.zeros(offset + n, dtype=bool))
+                    if len(mark) < offset + n:
+                        mark = marks[k] = np.append(mark, np.zeros(offset + n - len(mark), bool))
+                    mark[offset : offset + n] |= own
+        return marks
+
     def task(docs: pa.Table, given: pa.Table) -> pa.Table:
         texts = docs.column("text")
         marks: dict[int, np.ndarray] = {}
@@ -318,31 +353,7 @@ def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
             _keys(given, kind) for kind in (_PHRASE_KIND, _RUN_KIND, _WINDOW_KIND)
         )
         if len(wanted):
-            vocabulary = Vocabulary()
-            sliced = list(_slices(texts, vocabulary, window, phrase))
-            located = _located([piece for piece, _ in sliced], len(vocabulary), wanted, shard)
-            for (piece, parts), at in zip(sliced, located, strict=True):
-                whole = np.isin(piece.runs()[at], runs)
-                edge = np.zeros(len(piece.numbers) + 1, dtype=np.int64)
-                np.add.at(edge, piece.lo[at][whole], 1)
-                np.add.at(edge, piece.hi[at][whole] + window, -1)
-                rest = at[~whole]
-                sizes = piece.hi[rest] - piece.lo[rest] + 1
-                first = np.repeat(piece.lo[rest] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
-                starts = first + np.arange(len(first))
-                starts = starts[np.isin(piece.windows(starts), single)]
-                np.add.at(edge, starts, 1)
-                np.add.at(edge, starts + window, -1)
-                covered = np.cumsum(edge)[:-1] > 0
-                begin = 0
-                for k, offset, n in parts:
-                    own = covered[begin : begin + n]
-                    begin += n
-                    if own.any():
-                        mark = marks.setdefault(k, np.zeros(offset + n, dtype=bool))
-                        if len(mark) < offset + n:
-                            mark = marks[k] = np.append(mark, np.zeros(offset + n - len(mark), bool))
-                        mark[offset : offset + n] |= own
+            marks = marked(texts, wanted, runs, single)
         counts, removed, kept = [], [], []
         for k, text in enumerate(texts):
             found = bytes(text.as_buffer()).split() if text.is_valid else []
@@ -354,12 +365,14 @@ def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
                 found = [found[i] for i in np.flatnonzero(stay)]
             removed.append(gone)
             kept.append(b" ".join(found))
+        texts = pa.array(kept, pa.binary())
+        del kept
         return pa.table(
             {
                 "doc_id": docs.column("doc_id").combine_chunks().cast(key),
                 "n_words": pa.array(counts, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
-                "kept": pa.array(kept, pa.binary()).cast(pa.string()),
+                "kept": texts.cast(pa.string()),
             }
         )
 

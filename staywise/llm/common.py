@@ -1,6 +1,5 @@
 """What several operators share: words, held-out rows, tables in the shared folder."""
 
-import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -8,7 +8,6 @@ the k-th best score beats that bound. The blocks' best are merged per query.
 """
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +136,11 @@ def top(
     """
     single = (
         vectors.where(F.col(key).isNotNull() & usable(F.col(vector)))
-        .select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"), is_query.alias("asks"))
+        .select(
+            F.col(key).cast("bigint").alias("vec_id"),
+            F.col(vector).alias("vector"),
+            is_query.alias("asks"),
+        )
         .groupBy("vec_id")
         .agg(F.min("vector").alias("vector"), F.max("asks").alias("asks"))
     )

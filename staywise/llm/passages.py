@@ -35,7 +35,7 @@ from staywise.llm.common import BLOCK, cut_lineage, stored_in_blocks
 WINDOW = 35
 PHRASE = 18
 #: Phrases in one automaton.
-SHARD = 1 << 13
+SHARD = 1 << 14
 _SLICE = 1 << 18
 _FLUSH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)

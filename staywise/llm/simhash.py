@@ -147,20 +147,8 @@ def links(prints: DataFrame, bits: int = BITS, tile: int = pairing.TILE) -> Data
     return pairing.mapped(placed, _found(bits), "a bigint, b bigint", n)
 
 
-def classes(
-    docs: DataFrame,
-    bits: int = BITS,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    tile: int = pairing.TILE,
-) -> DataFrame:
-    """One row per document: ``doc_id``, ``row``, ``print`` and ``component_id``.
-
-    ``component_id`` is the smallest key that links of at most ``bits`` differing bits
-    reach; ``row`` is a hash of the row's text, to tell rows of one key apart. Texts
-    without words have fingerprint zero and link like others. Null keys are members but
-    never name a class: a class of null keys alone has a null ``component_id``.
-    """
+def _members(docs: DataFrame, bits: int, doc_id: str, text: str, tile: int) -> DataFrame:
+    """The rows of ``classes`` with ``component``, the class's own fingerprint."""
     printed = cut_lineage(
         docs.select(
             F.col(doc_id).alias("doc_id"),
@@ -174,22 +162,36 @@ def classes(
         found.withColumnRenamed("node", "print"), "print", "left"
     ).withColumn("component", F.coalesce("component", "print"))
     names = classed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = cut_lineage(classed.join(names, "component").select("print", "component_id"))
+    named = cut_lineage(
+        classed.join(names, "component").select("print", "component", "component_id")
+    )
     return printed.join(named, "print")
 
 
-def keep_one(
-    docs: DataFrame, bits: int = BITS, doc_id: str = "doc_id", text: str = "text"
+def classes(
+    docs: DataFrame,
+    bits: int = BITS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    tile: int = pairing.TILE,
 ) -> DataFrame:
-    """One document of each class: the one with the smallest key, its first by text hash.
+    """One row per document: ``doc_id``, ``row``, ``print`` and ``component_id``.
+
+    ``component_id`` is the smallest key that links of at most ``bits`` differing bits
+    reach; ``row`` is a hash of the row's text, to tell rows of one key apart. Texts
+    without words have fingerprint zero and link like others. Null keys are members but
+    never name a class: a class of null keys alone has a null ``component_id``.
+    """
+    return _members(docs, bits, doc_id, text, tile).select("print", "doc_id", "row", "component_id")
+
+
+def first_of_each(docs: DataFrame, member: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Of each ``component`` of ``member`` the row with the smallest ``doc_id`` and ``row``.
 
     A class of null keys alone keeps one row. Equal rows of the kept document become one.
     """
-    member = classes(docs, bits, doc_id, text)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
-    # A class without a name is told by its fingerprint.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print:"), "print"))
-    chosen = member.groupBy(group.alias("_class")).agg(F.min(rank).alias("_keep"))
+    chosen = member.groupBy("component").agg(F.min(rank).alias("_keep"))
     kept = chosen.select(
         F.coalesce(F.col("_keep.doc_id").cast("string"), F.lit("")).alias("_id"),
         F.col("_keep.row").alias("_row"),
@@ -204,3 +206,10 @@ def keep_one(
         .dropDuplicates(["_id", "_row"])
         .select(*docs.columns)
     )
+
+
+def keep_one(
+    docs: DataFrame, bits: int = BITS, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One document of each class: the one with the smallest key, its first by text hash."""
+    return first_of_each(docs, _members(docs, bits, doc_id, text, pairing.TILE), doc_id, text)

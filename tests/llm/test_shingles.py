@@ -1,0 +1,101 @@
+"""Near-duplicates by shingles against brute force over all pairs."""
+
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from staywise.llm import shingles, simhash
+
+
+def slow_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_parts(rows, similarity=0.8):
+    """Rows of each component, and the near pairs."""
+    sets = [slow_set(t) for _, t in rows]
+    part = list(range(len(rows)))
+
+    def root(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    pairs = []
+    for i, j in combinations(range(len(rows)), 2):
+        common, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+        if common >= similarity * either:
+            pairs.append((i, j))
+            part[root(i)] = root(j)
+    return [root(i) for i in range(len(rows))], pairs
+
+
+def shape(groups):
+    found = {}
+    for i, g in enumerate(groups):
+        found.setdefault(g, []).append(i)
+    return sorted(found.values())
+
+
+@pytest.fixture(scope="module")
+def edited(spark):
+    """Texts with near copies between about 0.6 and 1, one large group of near copies."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for _ in range(40):
+        words = [f"w{x}" for x in draw.integers(0, 5000, int(draw.integers(40, 400)))]
+        rows.append(" ".join(words))
+        for rate in (0.005, 0.015, 0.025, 0.05):
+            changed = [f"e{draw.integers(1 << 40)}" if draw.random() < rate else w for w in words]
+            rows.append(" ".join(changed))
+    base = [f"b{i}" for i in range(200)]
+    for i in range(90):
+        rows.append(" ".join([*base[:100], f"x{i}", f"y{i}", *base[100:]]))
+    table = list(enumerate(rows))
+    return table, spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+
+
+@pytest.mark.parametrize("tile", [20, shingles.TILE])
+def test_same_as_brute_force(edited, tile):
+    rows, docs = edited
+    expected, pairs = slow_parts(rows)
+    assert len(pairs) > 4000
+    found = {r.doc_id: r.component for r in shingles.members(docs, tile=tile).collect()}
+    assert shape([found[i] for i, _ in rows]) == shape(expected)
+
+
+@pytest.mark.parametrize("name", ["documents", "odd_documents", "no_documents"])
+def test_documents(name, request):
+    docs = request.getfixturevalue(name)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    kept = shingles.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == len(set(slow_parts(rows)[0]))
+
+
+def test_the_stage_leaves_no_near_copy(spark, sf_dir, edited):
+    """Near copies that differ in more than 4 bits of their fingerprints go too."""
+    rows, docs = edited
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()]
+    assert not slow_parts(kept)[1]
+    least = {g: min(i for i, h in enumerate(slow_parts(rows)[0]) if h == g) for g in slow_parts(rows)[0]}
+    assert sorted(i for i, _ in kept) == sorted(least.values())
+
+
+def test_common_shingles_are_counted():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 300, 120).astype(np.uint64)) for _ in range(60)]
+    found = shingles._shared(sets)
+    for i, j in combinations(range(60), 2):
+        assert found[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_classes_with_one_smallest_key_stay_apart(spark):
+    """A key with two texts names two classes; one row of either stays."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b)], "doc_id long, text string")
+    for kept in (simhash.keep_one(docs), shingles.keep_one(docs)):
+        assert sorted(map(tuple, kept.collect())) == [(1, a), (1, b)]

@@ -7,7 +7,9 @@ they share are counted, and pairs with enough are verified by their cosine. A pa
 only in the list of the two least pivots that it shares.
 
 Pivots are a bounded sample of the vectors, about the square root of their number, so lists
-stay short as the input grows. Equal vectors are one member with a weight, and long lists
+stay short as the input grows. Of sampled vectors near each other one is a pivot: members of
+a large group of near vectors would rank many pivots among them by their own noise. Fixed
+directions take the free places up to the fewest pivots. Equal vectors are one member with a weight, and long lists
 are cut into tiles that many tasks share.
 """
 
@@ -61,8 +63,27 @@ def _nearest(pivots: dict[int, np.ndarray], first: int):
     return nearest
 
 
-def _sample(distinct: DataFrame, size: int) -> dict[int, np.ndarray]:
-    """Pivots by vector length: of each length the first ``size`` by a hash, as units."""
+def _thinned(units: np.ndarray, apart: float, fewest: int) -> np.ndarray:
+    """Units, in order, without those at a cosine of ``apart`` or more to an earlier one that
+    stays; fixed directions follow where fewer than ``fewest`` stay."""
+    free = np.ones(len(units), dtype=bool)
+    chosen = []
+    for i in range(len(units)):
+        if free[i]:
+            chosen.append(i)
+            free &= units @ units[i] < apart
+    kept = units[chosen]
+    missing = fewest - len(kept)
+    if missing <= 0 or not units.shape[1]:
+        return kept
+    fixed = np.random.default_rng(units.shape[1]).normal(size=(missing, units.shape[1]))
+    return np.concatenate([kept, _unit(fixed)])
+
+
+def _sample(distinct: DataFrame, size: int, cosine: float) -> dict[int, np.ndarray]:
+    """Pivots by vector length: of each length the first ``size`` by a hash, as units, thinned
+    to twice the angle of ``cosine``."""
+    apart = math.cos(min(2 * math.acos(max(-1.0, min(1.0, cosine))), math.pi))
     lengths = [r[0] for r in distinct.select(F.size("vector")).distinct().limit(size).collect()]
     found = {}
     for length in lengths:
@@ -73,7 +94,8 @@ def _sample(distinct: DataFrame, size: int) -> dict[int, np.ndarray]:
             .select("vector")
             .collect()
         )
-        found[length] = _unit(np.array([r["vector"] for r in rows], dtype=np.float64))
+        units = _unit(np.array([r["vector"] for r in rows], dtype=np.float64))
+        found[length] = _thinned(units, apart, min(size, PIVOTS[0]))
     return found
 
 
@@ -185,7 +207,7 @@ def classes(
     n = distinct.count()
     size = pivots or min(max(math.isqrt(n), PIVOTS[0]), PIVOTS[1])
     postings = _postings(
-        distinct.select("node", "class", "vector", "weight"), _sample(distinct, size), first
+        distinct.select("node", "class", "vector", "weight"), _sample(distinct, size, cosine), first
     )
     placed = pairing.tiled(postings, "list", F.xxhash64("node"), tile)
     found = cut_lineage(

@@ -143,3 +143,38 @@ def test_components_of_chains_stars_and_loops(spark):
     found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     expected = {i: 100 for i in range(100, 141)} | {i: 500 for i in range(500, 560)}
     assert found == expected | {1: 1, 2: 1, 3: 1, -5: -9, -9: -9}
+
+
+def recall_in_a_group(draw, n, dims=64, mean=0.985):
+    """Of the near pairs in a group of a third of n vectors the part that shares pivots."""
+    centre = draw.normal(size=dims)
+    spread = np.linalg.norm(centre) * np.sqrt((1 / mean - 1) / dims)
+    group = centre + draw.normal(size=(n // 3, dims)) * spread
+    every = pivots._unit(np.concatenate([group, draw.normal(size=(n - n // 3, dims))]))
+    size = min(max(int(n**0.5), pivots.PIVOTS[0]), pivots.PIVOTS[1])
+    sample = every[draw.permutation(n)[:size]]
+    points = pivots._thinned(sample, np.cos(2 * np.arccos(pivots.COSINE)), min(size, pivots.PIVOTS[0]))
+    some = every[:300]
+    known = np.argsort(-(some @ points.T), axis=1, kind="stable")[:, : pivots.FIRST]
+    left, right = np.triu_indices(len(some), 1)
+    near = np.einsum("ij,ij->i", some[left], some[right]) >= pivots.COSINE
+    both = (known[left][:, :, None] == known[right][:, None, :]).any(axis=2).sum(axis=1)
+    return near.sum(), (both[near] >= pivots.SHARED).mean()
+
+
+@pytest.mark.parametrize("n", [600, 5000, 60_000])
+def test_recall_inside_a_large_group_of_near_vectors(n):
+    """A third of the rows are near but unequal; links must not thin out as n grows."""
+    pairs, recall = recall_in_a_group(np.random.default_rng(n), n)
+    assert pairs > 3000 and recall >= 0.999
+
+
+def test_links_of_a_large_group_of_near_vectors(spark):
+    draw = np.random.default_rng(12)
+    centre = draw.normal(size=64)
+    group = [centre + draw.normal(size=64) * 0.12 for _ in range(250)]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate([*group, *draw.normal(size=(500, 64))])]
+    units = pivots._unit(np.array([v for _, v, _ in rows]))
+    expected = int((np.triu(units @ units.T, 1) >= 0.98).sum()) * 2
+    found = pivots.classes(table(spark, rows)).agg(F.sum("n_links")).first()[0]
+    assert expected > 10_000 and 0.999 * expected <= found <= expected

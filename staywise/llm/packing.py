@@ -31,7 +31,7 @@ END = 2
 SPECIAL = {"<|endoftext|>": 50256}
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 #: Fillings tried before the search settles for its incumbent.
-NODES = 2_000
+NODES = 5_000
 PIECE = (
     ("piece", pa.int32(), "int"),
     ("start", pa.int64(), "bigint"),
@@ -168,17 +168,18 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Bin, int]]:
     return [(filling, n) for room in rooms.values() for filling, n in room.items()]
 
 
-def _dominated(filling: Bin, waste: int, spare: set[int]) -> bool:
-    """Whether an unused length fits too, or could take the place of one or two."""
-    if any(size <= waste for size in spare):
+def _dominated(filling: Bin, waste: int, spare: int) -> bool:
+    """Whether an unused length, a bit of ``spare``, fits too, or could take the place of
+    one or two."""
+    if spare & ((2 << waste) - 1):
         return True
-    options = [*filling, *(x + y for i, x in enumerate(filling) for y in filling[i + 1 :])]
-    singles = len(filling)
-    for k, taken in enumerate(options):
-        low = taken + 1 if k < singles else taken
-        if any(size in spare for size in range(low, taken + waste + 1)):
-            return True
-    return False
+    alone = (1 << waste) - 1
+    if any(spare >> (taken + 1) & alone for taken in set(filling)):
+        return True
+    pair = (2 << waste) - 1
+    return any(
+        spare >> (x + y) & pair for i, x in enumerate(filling) for y in filling[i + 1 :]
+    )
 
 
 def fillings(counts: dict[int, int], room: int) -> Iterator[Bin]:
@@ -205,11 +206,15 @@ def fillings(counts: dict[int, int], room: int) -> Iterator[Bin]:
                 for more in exact(i + 1, rest - times * sizes[i]):
                     yield (sizes[i],) * times + more
 
+    some = sum(1 << s for s in sizes)
     for waste in range(room + 1):
         if not after[0] >> (room - waste) & 1:
             continue
         for filling in exact(0, room - waste):
-            spare = {s for s in sizes if counts[s] > filling.count(s)}
+            spare = some
+            for size in set(filling):
+                if counts[size] == filling.count(size):
+                    spare ^= 1 << size
             if not _dominated(filling, waste, spare):
                 yield filling
 

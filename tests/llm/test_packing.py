@@ -114,3 +114,14 @@ def test_search_beats_best_fit():
     best = sum(n for _, n in packing.complete(counts, 10))
     assert best == packing.lower_bound(counts, 10) == 5
     assert best <= sum(n for _, n in packing.best_fit(counts, 10))
+
+
+def test_search_goes_on_to_the_bound():
+    """Best-fit and 2,000 fillings take 22 sequences here; 21 are enough."""
+    sizes = (
+        "21 55 55 53 50 50 23 36 36 24 24 32 32 51 51 51 51 43 43 43 47 47 47 48 48 48 38 38 34 49 37 37 "
+        "28 28 31 31 31 42 42 41 25 25 22 40 40 26 39 58 35 35 29 29 29 33"
+    )
+    counts = dict(Counter(map(int, sizes.split())))
+    assert sum(n for _, n in packing.complete(counts, 100)) == packing.lower_bound(counts, 100) == 21
+    assert sum(n for _, n in packing.complete(counts, 100, 2_000)) == 22

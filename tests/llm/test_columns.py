@@ -208,3 +208,21 @@ def test_every_entity_of_the_documents_goes(spark, documents, odd_documents, no_
     assert old.join(news, "e", "left_semi").count() == 0
     assert surrogates.replace(odd_documents, "k").count() == odd_documents.count()
     assert surrogates.replace(no_documents, "k").count() == 0
+
+
+def test_long_secrets_and_names_with_a_prefix(spark):
+    """Values of any length go whole, after environment-style names too."""
+    draw = "".join(chr(97 + (i * i * 7 + i // 26) % 26) for i in range(1500))
+    long = f"{draw}.{draw[::-1]}"
+    value = "q7Zr9tLw3KxB5vNm"
+    names = ("DB_PASSWORD=", "AWS_SECRET_ACCESS_KEY=", "GITHUB_TOKEN: ", "dbPassword=", "my_api_key=")
+    rows = [f"token={long} end.", *(f"export {name}{value} end" for name in names)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = surrogates.replace(docs, "k").orderBy("doc_id").collect()
+    assert [r.n_entities for r in found] == [1] * len(rows)
+    new = found[0].text
+    assert len(new) == len(rows[0]) and new.startswith("token=") and new.endswith(" end.")
+    old = {long[i : i + 12] for i in range(len(long) - 11)}
+    assert not any(new[i : i + 12] in old for i in range(len(new) - 11))
+    for row, name in zip(found[1:], names, strict=True):
+        assert re.fullmatch(rf"export {name}[A-Za-z0-9]{{16}} end", row.text) and value not in row.text

@@ -3,12 +3,15 @@
 from pyspark.sql import functions as F
 
 from staywise.llm import (
+    divergence,
     mixing,
     nbsvm,
     packing,
     passages,
     pivots,
     ppm,
+    resampling,
+    sharding,
     simhash,
     surrogates,
     topk,
@@ -84,6 +87,19 @@ def op10_pii_surrogates(spark, sf_dir):
     return surrogates.replace(docs, SURROGATE_KEY)
 
 
+def op11_shard_slots(spark, sf_dir):
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_draw(spark, sf_dir):
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target)
+
+
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -97,5 +113,8 @@ QUERIES = {
         op8_vector_classes,
         op9_simhash_classes,
         op10_pii_surrogates,
+        op11_shard_slots,
+        op12_importance_draw,
+        op13_source_divergence,
     )
 }

@@ -13,6 +13,8 @@ outweigh a shard. All steps but the numbering of rows inside a slot move slots,
 and a map has at most ``2 * SLOTS`` of those.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -131,12 +133,20 @@ def store(slot_map: DataFrame, folder: str, version: int) -> None:
     slot_map.coalesce(1).write.parquet(f"{folder}/version={version}")
 
 
+def _maps(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("virtual_slot int, shard int, version int").parquet(folder)
+
+
+def latest(spark: SparkSession, folder: str) -> int:
+    """The number of the last version, empty ones included: one file each."""
+    files = _maps(spark, folder).inputFiles()
+    return max(int(re.search(r"/version=(\d+)/[^/]*$", f)[1]) for f in files)
+
+
 def stored(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
     """``virtual_slot, shard, version``; the latest version unless another is asked for."""
-    maps = spark.read.schema("virtual_slot int, shard int, version int").parquet(folder)
-    if version is None:
-        version = maps.agg(F.max("version")).first()[0]
-    return maps.where(F.col("version") == F.lit(version).cast("int"))
+    version = latest(spark, folder) if version is None else version
+    return _maps(spark, folder).where(F.col("version") == version)
 
 
 def place(
@@ -167,11 +177,11 @@ def place(
     if folder is None:
         folder = new_folder(spark, "slots")
         store(first_map(weighed, shards), folder, 1)
-    before = stored(spark, folder)
-    version = before.agg(F.max("version")).first()[0] or 0
-    store(rebalanced(before.drop("version"), weighed, shards), folder, version + 1)
+    version = latest(spark, folder)
+    before = stored(spark, folder, version).drop("version")
+    store(rebalanced(before, weighed, shards), folder, version + 1)
     earlier = W.partitionBy("shard").orderBy("virtual_slot").rowsBetween(W.unboundedPreceding, -1)
-    begun = stored(spark, folder).join(weighed, "virtual_slot").select(
+    begun = stored(spark, folder, version + 1).join(weighed, "virtual_slot").select(
         "virtual_slot", "shard", "version",
         F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("begin"),
     )

@@ -8,7 +8,7 @@ columns of ``documents``.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staywise.llm import mixing, nbsvm, packing, shingles, surrogates
+from staywise.llm import mixing, nbsvm, packing, simhash, surrogates
 from staywise.llm.common import new_folder, table
 from staywise.llm.registry import SURROGATE_KEY
 
@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: 5-word similarity of at least 0.8."""
-    return shingles.keep_one(docs)
+    """One document of each class of fingerprints linked by at most 4 differing bits."""
+    return simhash.keep_one(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

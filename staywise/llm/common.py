@@ -17,6 +17,7 @@ __all__ = [
     "partitions",
     "stored_in_blocks",
     "table",
+    "unused",
     "words",
 ]
 
@@ -46,6 +47,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(name: str, columns) -> str:
+    """``name``, with as many underscores before it as it takes to be none of ``columns``.
+
+    Spark's names do not tell cases apart.
+    """
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
     """Add ``number``, each row's place in ``order`` from 0, without a sort in one task.
 

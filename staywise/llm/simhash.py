@@ -17,7 +17,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
 from staywise.llm import pairing
-from staywise.llm.common import cut_lineage, partitions
+from staywise.llm.common import cut_lineage, partitions, unused
 from staywise.llm.components import components
 
 SEED = 42
@@ -185,31 +185,25 @@ def classes(
     return _members(docs, bits, doc_id, text, tile).select("print", "doc_id", "row", "component_id")
 
 
-def first_of_each(docs: DataFrame, member: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Of each ``component`` of ``member`` the row with the smallest ``doc_id`` and ``row``.
+def keep_one(
+    docs: DataFrame, bits: int = BITS, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One document of each class: the one with the smallest key, its first by text hash.
 
     A class of null keys alone keeps one row. Equal rows of the kept document become one.
+    All columns stay, whatever their names.
     """
+    member = _members(docs, bits, doc_id, text, pairing.TILE)
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
-    chosen = member.groupBy("component").agg(F.min(rank).alias("_keep"))
+    chosen = member.groupBy("component").agg(F.min(rank).alias("first"))
+    key, row = unused("key", docs.columns), unused("row", docs.columns)
     kept = chosen.select(
-        F.coalesce(F.col("_keep.doc_id").cast("string"), F.lit("")).alias("_id"),
-        F.col("_keep.row").alias("_row"),
+        F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias(key),
+        F.col("first.row").alias(row),
     ).distinct()
     rows = docs.select(
         "*",
-        F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"),
-        F.xxhash64(text).alias("_row"),
+        F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias(key),
+        F.xxhash64(text).alias(row),
     )
-    return (
-        rows.join(kept, ["_id", "_row"], "left_semi")
-        .dropDuplicates(["_id", "_row"])
-        .select(*docs.columns)
-    )
-
-
-def keep_one(
-    docs: DataFrame, bits: int = BITS, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One document of each class: the one with the smallest key, its first by text hash."""
-    return first_of_each(docs, _members(docs, bits, doc_id, text, pairing.TILE), doc_id, text)
+    return rows.join(kept, [key, row], "left_semi").dropDuplicates([key, row]).select(*docs.columns)

@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from staywise.llm import pairing, simhash
 
@@ -107,3 +108,19 @@ def test_keeps_one_of_each_class(documents, odd_documents, no_documents):
         # A class without a key is told by its print.
         classes = {r.component_id if r.component_id is not None else f"p{r.print}" for r in classed}
         assert kept.count() == len(classes)
+
+
+def test_one_of_each_class_with_all_its_columns(spark, odd_documents):
+    """Columns may be named like the operator's own; keys may repeat with other texts."""
+    rows = [
+        (1, "a b c d e f", "k1", 1), (2, "a b c d e f", "k2", 2), (2, "quite another text here", "k3", 3),
+        (1, "a b c d e f", "k1", 1), (None, "no key", "k4", 4), (None, None, "k5", 5),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, row int")
+    docs = docs.withColumns({"_id": F.lit(0), "KEY": F.lit(1), "component": F.lit(2), "print": F.lit(3)})
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.row for r in kept.collect()) == [1, 3, 4, 5]
+    found = simhash.keep_one(odd_documents)
+    names = {name for _, _, name in slow_classes([(r.doc_id, r.text) for r in odd_documents.collect()])}
+    assert {str(r.doc_id) for r in found.collect()} == names and found.columns == odd_documents.columns

@@ -124,3 +124,10 @@ def test_one_of_each_class_with_all_its_columns(spark, odd_documents):
     found = simhash.keep_one(odd_documents)
     names = {name for _, _, name in slow_classes([(r.doc_id, r.text) for r in odd_documents.collect()])}
     assert {str(r.doc_id) for r in found.collect()} == names and found.columns == odd_documents.columns
+
+
+def test_classes_with_one_smallest_key_stay_apart(spark):
+    """A key with two texts names two classes; one row of either stays."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b)], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [(1, a), (1, b)]

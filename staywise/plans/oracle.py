@@ -251,6 +251,9 @@ _METRIC_ROWS = " UNION ALL ".join(
 _STREAM_COUNTS = f"""{_WITH} SELECT reasons, count(*) AS n_rows,
     count(*) FILTER (reasons = '') AS n_scored FROM ({_REASONS}) GROUP BY reasons"""
 
+_FANOUT = f"""{_WITH} SELECT s.sink, g.* FROM ({_gold_scoring(_MS)}) g,
+    (SELECT 'table' AS sink UNION ALL SELECT 'message') s"""
+
 ORACLE = {
     "gold_label_counts": f"""{_WITH} SELECT tenure_bucket, charge_bucket, churn_label,
         count(*) AS n FROM lab GROUP BY ALL""",
@@ -277,8 +280,8 @@ ORACLE = {
     "gold_batch": f"{_WITH} SELECT event_id, {_GOLD_ROWS} FROM gold",
     "gold_message": f"{_WITH} {_gold_scoring(_MS)}",
     "gold_stream": f"{_WITH} {_gold_scoring()}",
-    "gold_stream_fanout": f"""{_WITH} SELECT s.sink, g.* FROM ({_gold_scoring(_MS)}) g,
-        (SELECT 'table' AS sink UNION ALL SELECT 'message') s""",
+    "gold_stream_fanout": _FANOUT,
+    "gold_fanout_once": _FANOUT,
     "medallion_lane_a": f"{_WITH} SELECT {_GOLD_ROWS} FROM gold",
     "medallion_lane_b": f"{_WITH} {_gold_scoring()}",
     "feat_payment_risky": _column("is_payment_risky"),
@@ -354,6 +357,7 @@ ORACLE = {
         CAST(0 AS BIGINT) AS n_different FROM ev""",
     "score_stream_counts": _STREAM_COUNTS,
     "score_stream_restart": _STREAM_COUNTS,
+    "score_stream_redelivered": _STREAM_COUNTS,
     "train_metrics": f"""{_WITH}, {_INDEX} SELECT
         count(*) FILTER ((event_id * 7919) % 100 < 80) AS n_train,
         count(*) FILTER ((event_id * 7919) % 100 >= 80) AS n_test,

@@ -4,9 +4,11 @@ Each function takes ``(spark, sf_dir)`` and returns a DataFrame over all rows of
 tables; ``oracle`` holds the same results as SQL. Names and columns match it.
 """
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from staywise import sinks, sources
 from staywise.config import ALT_SUPPORT_RULES, EVENT_RULES, ModelSpec
@@ -30,7 +32,7 @@ from staywise.schemas import (
     SCORING_EVENT,
     STAMPED_EVENT,
 )
-from staywise.sinks import runs
+from staywise.sinks import batches, runs
 from staywise.sinks.file_tables import DRAIN
 from staywise.streaming import medallion, scorer
 from staywise.streaming.control import await_all, drain
@@ -202,6 +204,17 @@ def gold_stream(spark, sf_dir):
     return _naive(sources.files(spark, _drained(stream), schema=GOLD_SCORING))
 
 
+def _both_sinks(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of a table and of its messages. Messages carry milliseconds, so both are
+    shown at that grain."""
+    both = rows.select(F.lit("table").alias("sink"), "*").unionByName(
+        silver.parse(texts, GOLD_SCORING, "value").select(F.lit("message").alias("sink"), "*")
+    )
+    return _naive(both).withColumn(
+        "ingestion_time", F.date_trunc("millisecond", "ingestion_time").cast("timestamp_ntz")
+    )
+
+
 def gold_stream_fanout(spark, sf_dir):
     """Table sink and message sink of one stream, both read back."""
     path = _staged(_stamped(spark, sf_dir))
@@ -217,14 +230,35 @@ def gold_stream_fanout(spark, sf_dir):
     ):
         drain(query)
     rows = sources.files(spark, table, schema=GOLD_SCORING)
-    texts = sources.files(spark, messages, schema="value string")
-    both = [
-        rows.select(F.lit("table").alias("sink"), "*"),
-        silver.parse(texts, GOLD_SCORING, "value").select(F.lit("message").alias("sink"), "*"),
-    ]
-    # Messages carry milliseconds; show both sinks at that grain.
-    return _naive(both[0].unionByName(both[1])).withColumn(
-        "ingestion_time", F.date_trunc("millisecond", "ingestion_time").cast("timestamp_ntz")
+    return _both_sinks(rows, sources.files(spark, messages, schema="value string"))
+
+
+def gold_fanout_once(spark, sf_dir):
+    """Table and messages from one read of each batch; the messages fail once on the way."""
+    path = new_folder(spark, "staged")
+    sinks.files(_stamped(spark, sf_dir).repartition(3), path)
+    table, messages, checkpoint = (new_folder(spark, n) for n in ("table", "messages", "checkpoint"))
+    to_messages, tries = batches.to_files(messages, gold.to_message), []
+
+    def unsteady(rows, batch):
+        tries.append(batch.number)
+        if tries == [0, 1]:
+            raise RuntimeError("no messages just now")
+        to_messages(rows, batch)
+
+    for last in (False, True):
+        stream = sources.files_stream(spark, path, STAMPED_EVENT, maxFilesPerTrigger=1)
+        query = sinks.fan_out_once(
+            gold.features(stream), table, checkpoint, [unsteady], trigger=DRAIN
+        )
+        try:
+            drain(query)
+        except StreamingQueryException:
+            if last:
+                raise
+    return _both_sinks(
+        batches.read(spark, table, GOLD_SCORING),
+        batches.read(spark, messages, StructType().add("value", "string")),
     )
 
 
@@ -604,6 +638,23 @@ def _feature_messages(spark, sf_dir, half=None):
     )
 
 
+def _numbered_feature_messages(spark, sf_dir):
+    """Feature messages with the event's number as their offset."""
+    texts = bronze.decode(fixture.dirty_messages(spark, sf_dir), keep=("offset", "timestamp"))
+    parsed = silver.parse(texts, SCORING_EVENT, keep=("offset", "timestamp"))
+    featured = gold.features(bronze.stamp(parsed, F.col("timestamp")))
+    value = F.to_json(F.struct(*GOLD_SCORING.fieldNames())).cast("binary")
+    return featured.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.alias("value"),
+        F.lit("churn_features").alias("topic"),
+        F.lit(0).alias("partition"),
+        "offset",
+        F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
 def score_stream_rows(spark, sf_dir, halves=(None,), runs_each=1):
     """Feature messages scored by a stream; scored and rejected rows read back.
 
@@ -637,6 +688,37 @@ def score_stream_rows(spark, sf_dir, halves=(None,), runs_each=1):
     return fitted, _naive(accepted.unionByName(refused))
 
 
+def score_stream_redelivered(spark, sf_dir):
+    """What was scored or refused when half of the messages are delivered twice or more, in
+    one run and across a restart, counted by reason."""
+    fitted = training.fit(_stored_gold(spark, sf_dir))
+    names = ("staged", "features", "scores", "rejects", "checkpoint")
+    staged, features, scores, rejects, checkpoint = (new_folder(spark, n) for n in names)
+    messages = cut_lineage(_numbered_feature_messages(spark, sf_dir))
+    even, fourth = F.col("offset") % 2 == 0, F.col("offset") % 4
+    for deliveries in ([even, fourth == 0], [~even, fourth == 0, fourth == 1, fourth == 1]):
+        for delivered in deliveries:
+            sinks.files(messages.where(delivered), staged, mode="append")
+        drain(
+            scorer.stream_once(
+                sources.files_stream(spark, staged, KAFKA),
+                fitted.model,
+                features,
+                checkpoint,
+                batches.to_files(scores),
+                batches.to_files(rejects),
+                SPEC.threshold,
+                redelivery="1 hour",
+            )
+        )
+    accepted = spark.read.parquet(scores).select("prediction", F.lit("").alias("reasons"))
+    refused = spark.read.parquet(rejects).select(
+        F.lit(None).cast("double").alias("prediction"),
+        F.concat_ws(",", "reject_reasons").alias("reasons"),
+    )
+    return _reason_counts(accepted.unionByName(refused))
+
+
 def score_stream(spark, sf_dir):
     """The stream's scores against those of a batch over the same messages."""
     fitted, rows = score_stream_rows(spark, sf_dir)
@@ -756,6 +838,7 @@ QUERIES = {
         gold_message,
         gold_stream,
         gold_stream_fanout,
+        gold_fanout_once,
         medallion_lane_a,
         medallion_lane_b,
         churn_label,
@@ -794,6 +877,7 @@ QUERIES = {
         medallion_train,
         score_probability,
         score_stream_restart,
+        score_stream_redelivered,
         stream_restart,
         stream_await,
     )

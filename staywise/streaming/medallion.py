@@ -38,9 +38,14 @@ class LanePaths:
         return f"{self.root}/checkpoints/{hop}"
 
 
-def _hop(df, paths, name, fmt, trigger, wait) -> StreamingQuery:
+def _hop(df, paths, name, fmt, trigger, wait, partition_by=()) -> StreamingQuery:
     query = sinks.files_stream(
-        df, paths.table(name), paths.checkpoint(name), fmt=fmt, trigger=trigger
+        df,
+        paths.table(name),
+        paths.checkpoint(name),
+        fmt=fmt,
+        trigger=trigger,
+        partition_by=partition_by,
     )
     return drain(query) if wait else query
 
@@ -56,14 +61,16 @@ def training_lane(
     paths: LanePaths,
     fmt: str = "parquet",
     trigger: dict = DRAIN,
+    partition_by=(),
     **read_options,
 ) -> list[StreamingQuery]:
     """Messages → bronze (raw text) → silver (parsed). Gold is built in batch from
-    silver by ``training_gold``, as training wants a full, replaceable table."""
+    silver by ``training_gold``, as training wants a full, replaceable table.
+    ``partition_by`` names columns that divide the silver table."""
     spark, wait = messages.sparkSession, "availableNow" in trigger
     first = _hop(bronze.decode(messages), paths, "bronze", fmt, trigger, wait)
     raw = _next(spark, paths, "bronze", RAW, fmt, read_options)
-    second = _hop(silver.parse(raw), paths, "silver", fmt, trigger, wait)
+    second = _hop(silver.parse(raw), paths, "silver", fmt, trigger, wait, partition_by)
     return [first, second]
 
 
@@ -87,10 +94,19 @@ def scoring_lane(
     clock: Column | None = None,
     rules: FeatureRules = FeatureRules(),
     publish=(),
+    publish_batches=None,
+    partition_by=(),
     **read_options,
 ) -> list[StreamingQuery]:
     """Messages → bronze (parsed, stamped) → silver → gold, the last hop also into
-    every sink in ``publish``: functions that start a query on the message frame."""
+    every sink in ``publish``: functions that start a query on the message frame, each with
+    a read of its own.
+
+    With ``publish_batches``, a list of batch sinks, one query reads silver once for the gold
+    table and all of them; the table is then one for ``sinks.batches.read``.
+    ``partition_by`` names columns that divide the table otherwise."""
+    if publish_batches is not None and (publish or partition_by):
+        raise ValueError("publish_batches stands alone, without publish or partition_by")
     spark, wait = messages.sparkSession, "availableNow" in trigger
 
     keep = () if clock is None else ("timestamp",)
@@ -105,8 +121,14 @@ def scoring_lane(
     clean = _next(spark, paths, "silver", STAMPED_EVENT, fmt, read_options)
     featured = gold.features(clean, rules)
 
+    if publish_batches is not None:
+        last = sinks.fan_out_once(
+            featured, paths.table("gold"), paths.checkpoint("gold"), publish_batches, fmt, trigger
+        )
+        return [first, second, drain(last) if wait else last]
+
     def to_table(df):
-        return _hop(df, paths, "gold", fmt, trigger, False)
+        return _hop(df, paths, "gold", fmt, trigger, False, partition_by)
 
     def to_sink(start):
         return lambda df: start(gold.to_message(df))

@@ -25,13 +25,16 @@ def training_lane(
     trigger: dict = KEEP_RUNNING,
     fmt: str = "parquet",
     read_options: dict | None = None,
+    partition_by=(),
     **kafka_options,
 ) -> list[StreamingQuery]:
     """Raw customer events into bronze and silver, from the oldest message on.
 
     ``read_options`` go to the reads between hops, such as ``maxFilesPerTrigger``."""
     messages = sources.kafka(spark, servers, topics.raw_events, starting, **kafka_options)
-    return medallion.training_lane(messages, paths, fmt, trigger, **(read_options or {}))
+    return medallion.training_lane(
+        messages, paths, fmt, trigger, partition_by, **(read_options or {})
+    )
 
 
 def scoring_lane(
@@ -45,20 +48,30 @@ def scoring_lane(
     clock: Column | None = None,
     rules: FeatureRules = FeatureRules(),
     read_options: dict | None = None,
+    one_read: bool = False,
+    partition_by=(),
     **kafka_options,
 ) -> list[StreamingQuery]:
     """Scoring events through to the gold table and the feature topic. On the very
     first start only messages from now on are read. ``read_options`` go to the reads
-    between hops."""
+    between hops. ``one_read`` feeds table and topic from one read of each batch."""
     messages = sources.kafka(spark, servers, topics.scoring_events, starting, **kafka_options)
 
+    if one_read:
+        to_topic = sinks.kafka_batches(servers, topics.features, gold.to_message)
+        return medallion.scoring_lane(
+            messages, paths, fmt, trigger, clock, rules,
+            publish_batches=[to_topic], **(read_options or {}),
+        )
+
     def publish(df):
         checkpoint = paths.checkpoint("features-topic")
         return sinks.kafka(df, servers, topics.features, checkpoint, trigger)
 
     return medallion.scoring_lane(
-        messages, paths, fmt, trigger, clock, rules, [publish], **(read_options or {})
-    )
+        messages, paths, fmt, trigger, clock, rules, [publish],
+        partition_by=partition_by, **(read_options or {}),
+    )
 
 
 def score(

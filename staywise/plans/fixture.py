@@ -148,6 +148,41 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_messages(events, "churn_events", damaged)
 
 
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as messages, fifteen in fifty broken, each in its own way as JSON."""
+    events = customer_events(spark, sf_dir)
+    kind = F.col("event_id") % 50
+    text = F.to_json(
+        F.struct(
+            *[c for c in CUSTOMER_EVENT.fieldNames() if c != "timestamp"],
+            _timestamp_text().alias("timestamp"),
+        )
+    )
+
+    def put(text, field, value):
+        return F.regexp_replace(text, f'"{field}":("[^"]*"|[^,}}]*)', f'"{field}":{value}')
+
+    broken = (
+        F.when(kind == 0, "not json")
+        .when(kind == 1, F.lit(None).cast("string"))
+        .when(kind == 2, "  ")
+        .when(kind == 3, F.concat(F.lit("["), text, F.lit("]")))
+        .when(kind == 4, F.expr("left(t, length(t) - 1)"))
+        .when(kind == 5, put(text, "tenure_months", "null"))
+        .when(kind == 6, put(text, "support_tickets", '"$1"'))
+        .when(kind == 7, put(text, "customer_id", "300000000$1"))
+        .when(kind == 8, put(text, "late_payments", "$1.5"))
+        .when(kind == 9, put(text, "monthly_charges", '"NaN"'))
+        .when(kind == 10, put(text, "monthly_charges", "1e999"))
+        .when(kind == 11, put(text, "gender", "5"))
+        .when(kind == 12, put(text, "location", '{"name":$1}'))
+        .when(kind == 13, F.concat(F.lit('{"tier":1,"Age":2,'), F.expr("substr(t, 2)")))
+        .when(kind == 14, put(F.regexp_replace(text, '"age":[0-9]+,', ""), "tenure_months", "null"))
+        .otherwise(text)
+    )
+    return _as_messages(events.withColumn("t", text), "churn_events", broken)
+
+
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged messages parsed, ``offset`` kept as the row's identity."""
     texts = bronze.decode(dirty_messages(spark, sf_dir), keep=("offset",))

@@ -251,6 +251,36 @@ _METRIC_ROWS = " UNION ALL ".join(
 _STREAM_COUNTS = f"""{_WITH} SELECT reasons, count(*) AS n_rows,
     count(*) FILTER (reasons = '') AS n_scored FROM ({_REASONS}) GROUP BY reasons"""
 
+# Kind of damage, what it does to one field, and the field.
+_BROKEN = (
+    (5, "tenure_months", "null"),
+    (6, "support_tickets", "wrong_type"),
+    (7, "customer_id", "overflow"),
+    (8, "late_payments", "wrong_type"),
+    (9, "monthly_charges", "wrong_type"),
+    (10, "monthly_charges", "overflow"),
+    (11, "gender", "wrong_type"),
+    (12, "location", "wrong_type"),
+    (14, "age", "absent"),
+    (14, "tenure_months", "null"),
+)
+
+_BROKEN_FIELDS = ", ".join(
+    f"""CASE WHEN event_id % 50 NOT IN (0, 1, 2, 3, 4{"".join(
+        f", {k}" for k, field, _ in _BROKEN if field == c
+    )}) THEN "{c}" END AS "{c}\""""
+    for c in _PROFILE_TYPES
+)
+
+_DEFECTS = f"""{_WITH}, broken AS (
+  SELECT event_id AS "offset", {_BROKEN_FIELDS},
+    CASE event_id % 50 WHEN 0 THEN 'message:malformed' WHEN 1 THEN 'message:empty'
+      WHEN 2 THEN 'message:empty' WHEN 3 THEN 'message:no_object' WHEN 4 THEN 'message:malformed'
+      {" ".join(f"WHEN {k} THEN '{c}:{s}'" for k, c, s in _BROKEN if k != 14)}
+      WHEN 14 THEN 'age:absent,tenure_months:null' ELSE '' END AS defects,
+    CASE WHEN event_id % 50 = 13 THEN 'Age,tier' ELSE '' END AS unknown
+  FROM ev)"""
+
 _FANOUT = f"""{_WITH} SELECT s.sink, g.* FROM ({_gold_scoring(_MS)}) g,
     (SELECT 'table' AS sink UNION ALL SELECT 'message') s"""
 
@@ -276,6 +306,11 @@ ORACLE = {
     "silver_conformed": f"""{_WITH} SELECT {_SCORING_FIELDS}, 'new' AS tenure_bucket,
         'high' AS charge_bucket, event_time AS ingestion_time FROM ev""",
     "silver_coerced": _TRAINING_ROWS,
+    "silver_defects": f"{_DEFECTS} SELECT * FROM broken",
+    "defect_counts": f"""{_DEFECTS} SELECT split_part(d, ':', 1) AS field,
+        split_part(d, ':', 2) AS state, count(*) AS n
+        FROM (SELECT unnest(string_split(defects, ',')) AS d FROM broken WHERE defects <> '')
+        GROUP BY ALL""",
     "gold_overwrites_buckets": f"{_WITH} SELECT event_id, {_GOLD_FIELDS} FROM gold",
     "gold_batch": f"{_WITH} SELECT event_id, {_GOLD_ROWS} FROM gold",
     "gold_message": f"{_WITH} {_gold_scoring(_MS)}",

@@ -14,6 +14,7 @@ from staywise import sinks, sources
 from staywise.config import ALT_SUPPORT_RULES, EVENT_RULES, ModelSpec
 from staywise.operators import (
     bronze,
+    defects,
     encode,
     evaluate,
     gold,
@@ -167,6 +168,23 @@ def silver_conformed(spark, sf_dir):
     return _naive(_stamped(spark, sf_dir))
 
 
+def _defects(spark, sf_dir):
+    texts = bronze.decode(fixture.broken_messages(spark, sf_dir), keep=("offset",))
+    return defects.read(texts, CUSTOMER_EVENT, keep=("offset",))
+
+
+def silver_defects(spark, sf_dir):
+    """Every broken message's fields, what is wrong with them, and fields nobody declared."""
+    said = F.transform("defects", lambda x: F.concat_ws(":", x["field"], x["state"]))
+    return _defects(spark, sf_dir).withColumns(
+        {"defects": F.concat_ws(",", said), "unknown": F.concat_ws(",", "unknown")}
+    )
+
+
+def defect_counts(spark, sf_dir):
+    return defects.counts(_defects(spark, sf_dir))
+
+
 def silver_coerced(spark, sf_dir):
     """Inferred integers back to the declared types."""
     inferred = src_json_batch_inferred(spark, sf_dir)
@@ -833,6 +851,8 @@ QUERIES = {
         silver_parsed,
         silver_conformed,
         silver_coerced,
+        silver_defects,
+        defect_counts,
         gold_batch,
         gold_overwrites_buckets,
         gold_message,

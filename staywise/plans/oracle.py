@@ -284,11 +284,59 @@ _DEFECTS = f"""{_WITH}, broken AS (
 _FANOUT = f"""{_WITH} SELECT s.sink, g.* FROM ({_gold_scoring(_MS)}) g,
     (SELECT 'table' AS sink UNION ALL SELECT 'message') s"""
 
+_JSON_TYPES = {"int": "bigint", "double": "double", "string": "string"}
+
+# Fields that differ from the declared ones: name, type, when there, when null.
+_JSON_FIELDS = [
+    (c, {"support_tickets": "string", "late_payments": "double"}.get(c, _JSON_TYPES[t]), "true", "false")
+    for c, t in _PROFILE_TYPES.items()
+] + [
+    ("is_gift", "boolean", "k = 3", "false"),
+    ("note", "string", "false", "k = 7"),
+]
+
+_FIELDS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS field, '{t}' AS type, count(*) FILTER ({there}) AS n,
+        count(*) FILTER ({null}) AS n_null, count(*) FILTER (NOT ({there}) AND NOT ({null})) AS n_absent
+        FROM json HAVING count(*) FILTER (({there}) OR ({null})) > 0"""
+    for c, t, there, null in _JSON_FIELDS
+)
+
+_DRIFT = " UNION ALL ".join(
+    [
+        f"""SELECT '{c}' AS field, min(b) AS batch_id, CAST(NULL AS VARCHAR) AS before,
+        '{_JSON_TYPES.get(_PROFILE_TYPES.get(c, ""), t)}' AS after
+        FROM json WHERE ({there}) OR ({null}) HAVING count(*) > 0"""
+        for c, t, there, null in _JSON_FIELDS
+    ]
+    + [
+        f"""SELECT '{c}', min(b), 'bigint', '{t}' FROM json WHERE k = {k} HAVING count(*) > 0"""
+        for c, t, k in (("support_tickets", "string", 1), ("late_payments", "double", 5))
+    ]
+)
+
+_JSON = f"""{_WITH}, lines AS (SELECT *, event_id % 50 AS k, event_id % 2 AS b FROM ev),
+json AS (SELECT * FROM lines WHERE k <> 9)"""
+
 ORACLE = {
     "gold_label_counts": f"""{_WITH} SELECT tenure_bucket, charge_bucket, churn_label,
         count(*) AS n FROM lab GROUP BY ALL""",
     "src_json_stream": _TRAINING_ROWS,
     "src_json_batch_inferred": _INFERRED_ROWS,
+    "src_json_fields": f"{_JSON} {_FIELDS}",
+    "src_json_drift": f"{_JSON} {_DRIFT}",
+    "src_json_merged_schema": f"""{_JSON} SELECT """
+    + ", ".join(
+        f"""CASE WHEN k <> 9 THEN {e} END AS "{c}\""""
+        for c, e in [
+            *((c, f'"{c}"') for c, t in _PROFILE_TYPES.items() if t != "int"),
+            *((c, f"CAST({c} AS BIGINT)") for c in ("customer_id", "age", "tenure_months")),
+            ("support_tickets", "CASE k WHEN 1 THEN 'many' ELSE CAST(support_tickets AS VARCHAR) END"),
+            ("late_payments", "CASE k WHEN 5 THEN 0.5E0 ELSE CAST(late_payments AS DOUBLE) END"),
+            ("is_gift", "CASE k WHEN 3 THEN true END"),
+        ]
+    )
+    + " FROM lines",
     "sink_json_stream": _TRAINING_ROWS,
     "sink_json_batch": f"{_WITH} SELECT event_id, {_GOLD_ROWS} FROM gold",
     "rows_source": f"""{_WITH} SELECT count(*) AS n_events,

@@ -34,6 +34,7 @@ from staywise.schemas import (
     STAMPED_EVENT,
 )
 from staywise.sinks import batches, runs
+from staywise.sources import inferred
 from staywise.sinks.file_tables import DRAIN
 from staywise.streaming import medallion, scorer
 from staywise.streaming.control import await_all, drain
@@ -122,6 +123,53 @@ def src_json_batch_inferred(spark, sf_dir):
     return sources.files(spark, path, "json")
 
 
+def _found_in_two_batches(spark, sf_dir):
+    """What two deliveries of JSON files hold; in the second some producers have changed."""
+    events = fixture.training_events(spark, sf_dir)
+    kind = F.col("event_id") % 50
+    changed = silver.conform(events, CUSTOMER_EVENT).columns
+    texts = events.select(
+        "event_id",
+        F.to_json(
+            F.struct(
+                *[c for c in changed if c not in ("support_tickets", "late_payments")],
+                F.when(kind != 1, F.col("support_tickets")).alias("support_tickets"),
+                F.when(kind != 5, F.col("late_payments")).alias("late_payments"),
+                F.when(kind == 3, F.lit(True)).alias("is_gift"),
+            )
+        ).alias("value"),
+    )
+    odd_ones = (
+        F.when(kind == 1, F.regexp_replace("value", r"\}$", ',"support_tickets":"many"}'))
+        .when(kind == 5, F.regexp_replace("value", r"\}$", ',"late_payments":0.5}'))
+        .when(kind == 7, F.regexp_replace("value", r"\}$", ',"note":null}'))
+        .when(kind == 9, "no json")
+        .otherwise(F.col("value"))
+    )
+    path, store = new_folder(spark, "json"), new_folder(spark, "fields")
+    for half in (0, 1):
+        part = texts.where(F.col("event_id") % 2 == half)
+        part.select(odd_ones.alias("value")).write.mode("append").text(path)
+        inferred.update(spark, path, store)
+    return path, inferred.stored(spark, store, keep=("batch_id",))
+
+
+def src_json_fields(spark, sf_dir):
+    """Fields of all files, merged from what is stored of each."""
+    return inferred.fields(_found_in_two_batches(spark, sf_dir)[1])
+
+
+def src_json_drift(spark, sf_dir):
+    return inferred.drift(_found_in_two_batches(spark, sf_dir)[1])
+
+
+def src_json_merged_schema(spark, sf_dir):
+    """The files read with the merged schema."""
+    path, files = _found_in_two_batches(spark, sf_dir)
+    rows = sources.files(spark, path, "json", inferred.schema(files))
+    return rows.drop("note")
+
+
 def sink_json_stream(spark, sf_dir):
     path = _staged(silver.conform(fixture.training_events(spark, sf_dir), CUSTOMER_EVENT))
     stream = sources.files_stream(spark, path, CUSTOMER_EVENT)
@@ -843,6 +891,9 @@ QUERIES = {
         gold_label_counts,
         src_json_stream,
         src_json_batch_inferred,
+        src_json_fields,
+        src_json_drift,
+        src_json_merged_schema,
         sink_json_stream,
         sink_json_batch,
         rows_source,

@@ -30,6 +30,11 @@ class Batch(NamedTuple):
         return f"{path}/query_id={self.query}/batch_id={self.number}"
 
 
+def current(rows: DataFrame, number: int) -> Batch:
+    """The batch that a ``foreachBatch`` function has been given."""
+    return Batch(rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), number)
+
+
 Sink = Callable[[DataFrame, Batch], None]
 
 
@@ -120,7 +125,7 @@ def fan_out_once(
 
     def each(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        batch = Batch(spark.sparkContext.getLocalProperty("sql.streaming.queryId"), number)
+        batch = current(rows, number)
         if stateful and is_committed(spark, path, batch):
             rows.write.format("noop").mode("overwrite").save()
         write(rows, path, batch, fmt)

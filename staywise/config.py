@@ -109,6 +109,8 @@ class ModelSpec:
     threshold: float = 0.4
     train_percent: int = 80
     seed: int = 42
+    # Places that all categories are hashed into; None keeps one place for each value.
+    hash_width: int | None = None
     # Depth of the gradient aggregation tree; raise it with the executor count.
     aggregation_depth: int = 2
 

@@ -1,11 +1,14 @@
 """Category indexing, one-hot encoding and the feature vector."""
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from staywise.config import ModelSpec
+from staywise.operators.running import numbered
+from staywise.workspace import cut_lineage
 
 
 def category_counts(df: DataFrame, columns, n: str | None = None) -> DataFrame:
@@ -43,13 +46,19 @@ def labels(counted: DataFrame, columns) -> list[list[str]]:
 
 
 def index_table(counted: DataFrame, columns) -> DataFrame:
-    """``column, value, index``: the labels as a table."""
-    rows = [
-        (column, value, float(index))
-        for column, values in zip(columns, labels(counted, columns), strict=True)
-        for index, value in enumerate(values)
-    ]
-    return counted.sparkSession.createDataFrame(rows, "column string, value string, index double")
+    """``column, value, index``: the labels as a table, for any number of values.
+
+    All values are numbered in one order, column by column, in ranges side by side; a
+    column's first number is taken off. Nothing but one number per column is broadcast.
+    """
+    wanted = cut_lineage(counted.where(F.col("column").isin(*columns)).select("column", "value", "n"))
+    placed = numbered(wanted, [F.asc("column"), F.desc("n"), F.asc("value")])
+    first = wanted.groupBy("column").agg(F.count("*").alias("values"))
+    earlier = W.partitionBy(F.lit(0)).orderBy("column").rowsBetween(W.unboundedPreceding, -1)
+    # One row per column.
+    begun = first.select("column", F.coalesce(F.sum("values").over(earlier), F.lit(0)).alias("begin"))
+    index = (F.col("number") - F.col("begin")).cast("double").alias("index")
+    return placed.join(F.broadcast(begun), "column").select("column", "value", index)
 
 
 def indexers(counted: DataFrame, columns) -> list[StringIndexerModel]:
@@ -77,10 +86,26 @@ def onehot(columns) -> OneHotEncoder:
 def assembler(spec: ModelSpec = ModelSpec()) -> VectorAssembler:
     """Encoded categories first, then the numbers; a null number raises."""
     encoded = [f"{c}_ohe" for c in spec.categorical]
+    if spec.hash_width is not None:
+        encoded = ["hashed"]
     return VectorAssembler(inputCols=[*encoded, *spec.numeric], outputCol="features")
 
 
-def stages(counted: DataFrame, spec: ModelSpec = ModelSpec()) -> list:
+def hasher(spec: ModelSpec) -> FeatureHasher:
+    """All categories into ``hash_width`` places, by a hash of column and value.
+
+    Needs no list of values, so neither the driver nor the model grows with them. Values may
+    share a place; nulls have none.
+    """
+    return FeatureHasher(
+        inputCols=list(spec.categorical), outputCol="hashed", numFeatures=spec.hash_width
+    )
+
+
+def stages(counted: DataFrame | None, spec: ModelSpec = ModelSpec()) -> list:
+    """The stages before the classifier; ``counted`` is not needed if categories are hashed."""
+    if spec.hash_width is not None:
+        return [hasher(spec), assembler(spec)]
     return [
         *indexers(counted, spec.categorical),
         onehot(spec.categorical),

@@ -63,11 +63,13 @@ def score_counts(df: DataFrame, score: str = "churn_prob", label: str = "churn_l
     """Positives and negatives per distinct score, written once.
 
     All curve areas follow from this table. Rows are combined before the shuffle, so a
-    score shared by very many rows is no hot key. Rows without a score are left out.
+    score shared by very many rows is no hot key. A row without a score is below every score,
+    as ``classify`` has it in class 0 at every threshold.
     """
+    known = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
     counted = (
-        df.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
-        .groupBy(F.col(score).cast("double").alias("score"))
+        df.where(F.col(label).isin(0, 1))
+        .groupBy(known.alias("score"))
         .agg(
             F.count_if(F.col(label) == 1).alias("pos"),
             F.count_if(F.col(label) == 0).alias("neg"),

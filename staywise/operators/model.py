@@ -65,7 +65,7 @@ def train(
     ``counted`` are the category counts of ``df`` if they are known already. Only the
     model's columns are read; MLlib keeps its own blocks of them between iterations.
     """
-    if counted is None:
+    if counted is None and spec.hash_width is None:
         counted = encode.category_counts(df, spec.categorical)
     rows = df.select(*spec.inputs, spec.label, spec.weight)
     return Pipeline(stages=[*encode.stages(counted, spec), classifier(spec)]).fit(rows)

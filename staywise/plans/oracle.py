@@ -451,6 +451,23 @@ ORACLE = {
           / greatest(count(*) FILTER (churn_label = 1), 1) AS balance_ratio,
         count(*) FILTER ((event_id * 7919) % 100 >= 80) AS n_confusion,
         1 AS recall_rises, 1 AS is_balanced FROM lab""",
+    "train_hashed": f"""{_WITH} SELECT 68 AS n_features,
+        count(*) FILTER ((event_id * 7919) % 100 < 80) AS n_train,
+        count(*) FILTER ((event_id * 7919) % 100 >= 80) AS n_test, 1 AS is_learned FROM lab""",
+    "gold_versions": f"""{_WITH}, v AS (
+          SELECT 'first' AS step, 'new' AS reader, 3 AS every UNION ALL SELECT 'failed', 'new', 3
+          UNION ALL SELECT 'second', 'new', 1 UNION ALL SELECT 'second', 'old', 3)
+        SELECT step, reader, churn_label, count(*) AS n FROM v, lab
+        WHERE event_id % every = 0 GROUP BY ALL""",
+    "confusion_stream": f"""{_WITH}, d AS (SELECT unnest([0, 1, 2]) AS drained)
+        SELECT drained, """
+    + ", ".join(
+        f"""count(*) FILTER (churn_label = {y} AND prediction_custom = {p}) AS "{n}\""""
+        for n, y, p in (("TP", 1, 1), ("TN", 0, 0), ("FP", 0, 1), ("FN", 1, 0))
+    )
+    + " FROM d, cls WHERE drained > 0 OR event_id % 2 = 0 GROUP BY drained",
+    "roc_auc_sketched": f"""{_WITH} SELECT count(*) FILTER (churn_label = 1) AS n_pos,
+        count(*) FILTER (churn_label = 0) AS n_neg, 1 AS is_near, 1 AS is_pr_close FROM lab""",
     "train_row_counts": f"""{_WITH}, r AS (
           SELECT (event_id * 7919) % 100 < 80 AS train,
             tenure_months IS NULL AS t, support_tickets IS NULL AS s, late_payments IS NULL AS l,

@@ -4,7 +4,9 @@ Each function takes ``(spark, sf_dir)`` and returns a DataFrame over all rows of
 tables; ``oracle`` holds the same results as SQL. Names and columns match it.
 """
 
-from pyspark.errors import StreamingQueryException
+from functools import reduce
+
+from pyspark.errors import SparkRuntimeException, StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from staywise.operators import (
     quality,
     score,
     silver,
+    sketches,
 )
 from staywise.plans import fixture, training
 from staywise.schemas import (
@@ -33,10 +36,10 @@ from staywise.schemas import (
     SCORING_EVENT,
     STAMPED_EVENT,
 )
-from staywise.sinks import batches, runs
+from staywise.sinks import batches, runs, versions
 from staywise.sources import inferred
 from staywise.sinks.file_tables import DRAIN
-from staywise.streaming import medallion, scorer
+from staywise.streaming import medallion, monitor, scorer
 from staywise.streaming.control import await_all, drain
 from staywise.workspace import cut_lineage, new_folder
 
@@ -335,6 +338,33 @@ def medallion_lane_a(spark, sf_dir):
     return medallion.training_gold(spark, paths)
 
 
+def gold_versions(spark, sf_dir):
+    """What a reader holds and what a new one finds while a table is replaced: before, after
+    a write that failed, and after one that did not."""
+    path, events = new_folder(spark, "gold"), _labelled(spark, sf_dir)
+
+    def counted(rows, step, reader):
+        return rows.groupBy("churn_label").agg(F.count("*").alias("n")).select(
+            F.lit(step).alias("step"), F.lit(reader).alias("reader"), "churn_label", "n"
+        )
+
+    versions.replace(events.where("event_id % 3 = 0"), path)
+    held = versions.read(spark, path)
+    seen = [counted(held, "first", "new")]
+    broken = F.when(F.col("event_id") % 7 == 6, F.raise_error(F.lit("cut short"))).otherwise(
+        F.col("event_id")
+    )
+    try:
+        versions.replace(events.withColumn("event_id", broken), path)
+    except SparkRuntimeException as error:
+        if "cut short" not in str(error):
+            raise
+    seen.append(counted(versions.read(spark, path), "failed", "new"))
+    versions.replace(events, path)
+    seen += [counted(versions.read(spark, path), "second", "new"), counted(held, "second", "old")]
+    return reduce(DataFrame.unionByName, seen)
+
+
 def medallion_lane_b(spark, sf_dir):
     paths = medallion.LanePaths(new_folder(spark, "scoring-lane"))
     messages = _messages_stream(fixture.scoring_messages(spark, sf_dir))
@@ -399,6 +429,37 @@ def classification_metrics(spark, sf_dir):
     return evaluate.metrics(confusion_matrix(spark, sf_dir))
 
 
+def confusion_stream(spark, sf_dir):
+    """Confusion counts of a stream after each of two drains, restarted in between, and after
+    a third without anything new."""
+    staged, table, checkpoint = (new_folder(spark, n) for n in ("staged", "counts", "checkpoint"))
+    rows = _classified(spark, sf_dir).select("event_id", "churn_label", "prediction_custom")
+    keys = rows.drop("event_id").schema
+    seen = []
+    for drained, half in enumerate((0, 1, None)):
+        if half is not None:
+            sinks.files(rows.where(F.col("event_id") % 2 == half), staged, mode="append")
+        stream = sources.files_stream(spark, staged, rows.schema, maxFilesPerTrigger=2)
+        drain(monitor.count_stream(stream, keys.fieldNames(), table, checkpoint))
+        cells = cut_lineage(monitor.confusion(monitor.latest(spark, table, keys)))
+        seen.append(cells.select(F.lit(drained).alias("drained"), "*"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+def roc_auc_sketched(spark, sf_dir):
+    """Areas from sketches stored per batch, against the exact ones and the stated bound."""
+    rows = cut_lineage(_charge_scores(spark, sf_dir).select("event_id", "churn_prob", "churn_label"))
+    batch = (F.col("event_id") % 5).alias("batch")
+    stored = cut_lineage(sketches.of_classes(rows.select("*", batch), by=("batch",)))
+    found = sketches.areas(sketches.merged(stored))
+    exact = evaluate.areas(evaluate.score_counts(rows))
+    near = F.abs(F.col("roc_auc") - exact.select("roc_auc").scalar()) <= sketches.area_error()
+    close = F.abs(F.col("pr_auc") - exact.select("pr_auc").scalar()) <= 0.02
+    return found.select(
+        "n_pos", "n_neg", near.cast("int").alias("is_near"), close.cast("int").alias("is_pr_close")
+    )
+
+
 def _rounded(df: DataFrame, column: str) -> DataFrame:
     # Sums of fractions depend on the order of addition in the last digits.
     return df.select(F.round(column, 10).alias(column))
@@ -581,6 +642,22 @@ def train_metrics(spark, sf_dir):
     )
 
 
+def train_hashed(spark, sf_dir):
+    """Training with categories hashed into 64 places: width, rows, and what must hold."""
+    spec = ModelSpec(hash_width=64)
+    fitted = training.fit(_stored_gold(spark, sf_dir), key=_place(), spec=spec)
+    measured = training.report(training.score_test(fitted, spec), spec).first()
+    row = (
+        fitted.model.stages[-1].numFeatures,
+        fitted.n_train,
+        fitted.n_test,
+        int(measured["roc_auc"] > 0.9),
+    )
+    return spark.createDataFrame(
+        [row], "n_features int, n_train bigint, n_test bigint, is_learned int"
+    )
+
+
 def train_row_counts(spark, sf_dir):
     """Where the rows of the damaged events go in training."""
     events = cut_lineage(gold.features(fixture.dirty_events(spark, sf_dir)))
@@ -940,6 +1017,10 @@ QUERIES = {
         feature_vector,
         split_counts,
         train_metrics,
+        train_hashed,
+        gold_versions,
+        confusion_stream,
+        roc_auc_sketched,
         score_batch,
         score_saved_model,
         score_stream,

@@ -72,9 +72,11 @@ def fit(
         train, test = model.split(labelled, key, spec)
         inside = model.in_training(labelled, key, spec.train_percent)
         parts = labelled.withColumn("_train", inside)
+    # Hashed categories need no counts, and may have too many values to group by.
+    listed = () if spec.hash_width is not None else spec.categorical
     grouped = cut_lineage(
         quality.check(parts, needed)
-        .groupBy(*spec.categorical, spec.label, "_train", "reject_reasons")
+        .groupBy(*listed, spec.label, "_train", "reject_reasons")
         .agg(F.count("*").alias("_n"))
     )
     base = grouped.where("_train") if balance_on == "train" else grouped
@@ -88,9 +90,9 @@ def fit(
         raise ValueError(f"{n_train} rows to train on and {n_test} to test on: choose another key")
     reasons = grouped.select("_n", F.explode("reject_reasons").alias("reason"))
     rejected = {r["reason"]: r["n"] for r in reasons.groupBy("reason").agg(F.sum("_n").alias("n")).collect()}
-    counted = encode.category_counts(
-        grouped.where(usable & F.col("_train")), spec.categorical, n="_n"
-    )
+    counted = None
+    if listed:
+        counted = encode.category_counts(grouped.where(usable & F.col("_train")), listed, n="_n")
     train, test = quality.valid(train, needed), quality.valid(test, needed)
     weighted = label.weight(train, ratio, spec.label, spec.weight)
     return Fitted(
@@ -149,7 +151,7 @@ def run(
     log: str,
     key: model.Key = model.WHOLE_ROW,
     spec: ModelSpec = ModelSpec(),
-    run_name: str = "logreg_threshold_0_4",
+    run_name: str = "weighted-logistic",
     run_id: str | None = None,
     **fit_options,
 ) -> Run:

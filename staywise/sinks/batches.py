@@ -111,6 +111,7 @@ def fan_out_once(
     trigger: dict | None = None,
     name: str | None = None,
     stateful: bool = False,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Land a stream as a table and feed every sink with the landed rows, batch by batch.
 
@@ -119,7 +120,8 @@ def fan_out_once(
     when it is started again. Read tables with ``read``, which knows the whole batches.
 
     Say ``stateful`` if ``df`` keeps state: a repeated batch then runs again for its state,
-    which Spark wants from every batch, though its rows are not written again.
+    which Spark wants from every batch, though its rows are not written again. With the
+    ``update`` mode a batch holds the rows that it has changed.
     """
     schema = df.schema
 
@@ -133,7 +135,11 @@ def fan_out_once(
         for sink in sinks:
             sink(landed, batch)
 
-    writer = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    writer = (
+        df.writeStream.foreachBatch(each)
+        .outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+    )
     if name is not None:
         writer = writer.queryName(name)
     if trigger is not None:

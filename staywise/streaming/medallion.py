@@ -21,6 +21,7 @@ from staywise.schemas import (
     SCORING_EVENT,
     STAMPED_EVENT,
 )
+from staywise.sinks import versions
 from staywise.sinks.file_tables import DRAIN
 from staywise.streaming.control import drain
 
@@ -79,9 +80,17 @@ def training_gold(
     paths: LanePaths,
     fmt: str = "parquet",
     rules: FeatureRules = FeatureRules(),
+    versioned: bool = False,
 ) -> DataFrame:
-    """Rebuild the gold table from silver (full overwrite) and return it."""
+    """Rebuild the gold table from silver (full overwrite) and return it.
+
+    A ``versioned`` table is replaced by a new version, which readers at work survive; read
+    it with ``sinks.versions.read``.
+    """
     parsed = sources.files(spark, paths.table("silver"), fmt, CUSTOMER_EVENT)
+    if versioned:
+        versions.replace(gold.features(parsed, rules), paths.table("gold"), fmt)
+        return versions.read(spark, paths.table("gold"), GOLD_TRAINING, fmt)
     sinks.files(gold.features(parsed, rules), paths.table("gold"), fmt)
     return sources.files(spark, paths.table("gold"), fmt, GOLD_TRAINING)
 

@@ -1,12 +1,14 @@
 """Confusion counts, metrics and curve areas against brute force."""
 
+import itertools
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from staywise.operators import evaluate, profiling
-from staywise.operators.running import running_totals
+from staywise.operators.running import numbered, running_totals
 
 SCHEMA = "churn_prob double, churn_label int"
 PAIRS = st.lists(
@@ -83,7 +85,45 @@ def test_running_totals_on_a_lopsided_range(spark):
         found = running_totals(df, "score", {"upto": "n"}, ranges)
         assert {r.score: r.upto for r in found.collect()} == expected
     with pytest.raises(ValueError):
-        running_totals(df, "score", {"upto": "n"}, 10**6)
+        running_totals(df, "score", {"upto": "n"}, 0)
+
+
+def test_running_totals_over_many_ranges(spark, monkeypatch):
+    """More ranges than one group holds, and more than there are values."""
+    from staywise.operators import running
+
+    monkeypatch.setattr(running, "GROUP", 16)
+    df = spark.range(3000).selectExpr("cast(id * 7919 % 3001 as double) AS score", "id % 11 AS n")
+    rows = sorted(df.collect(), key=lambda r: -r.score)
+    expected = dict(zip([r.score for r in rows], itertools.accumulate(r.n for r in rows), strict=True))
+    for ranges in (15, 300, 20_000):
+        found = running_totals(df, "score", {"upto": "n"}, ranges)
+        assert {r.score: r.upto for r in found.collect()} == expected
+
+
+def test_rows_without_a_score_are_class_0_everywhere(spark):
+    """Areas and confusion agree on them: they are below every threshold."""
+    pairs = [(0.9, 1), (None, 1), (0.5, 0), (None, 0), (0.4, 1), (0.1, 0), (None, 0)]
+    df = spark.createDataFrame(pairs, SCHEMA)
+    lowest = [(-1.0 if s is None else s, y) for s, y in pairs]
+    row = evaluate.areas(evaluate.score_counts(df), 3).first()
+    assert row.roc_auc == pytest.approx(brute_roc(lowest), abs=1e-12)
+    assert row.pr_auc == pytest.approx(brute_pr(lowest), abs=1e-12)
+    cells = evaluate.confusion(evaluate.classify(df)).first()
+    assert tuple(cells) == (2, 3, 1, 1) and sum(cells) == len(pairs)
+    curve = {r.score: (r.tp, r.fp) for r in evaluate.curve(evaluate.score_counts(df), 2).collect()}
+    assert curve[0.4] == (cells.TP, cells.FP) and curve[float("-inf")] == (3, 4)
+
+
+def test_numbers_of_a_global_order(spark):
+    rows = spark.range(5000).select(
+        (F.col("id") * 7919 % 5000).alias("x"), F.lit("s").alias("range"), F.lit(-1).alias("number")
+    )
+    for ranges in (None, 1, 77):
+        found = numbered(rows, [F.asc("range"), F.desc("x")], ranges)
+        assert found.columns == ["x", "range", "number"]
+        assert all(r.number == 4999 - r.x for r in found.collect())
+    assert numbered(rows.limit(0), [F.asc("x")]).collect() == []
 
 
 @settings(max_examples=8, deadline=None)

@@ -12,7 +12,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from staywise.llm import resampling
-from staywise.llm.common import numbered
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -107,13 +106,6 @@ def test_a_third_of_equal_rows_is_ranked(spark):
     assert order == sorted(order)
 
 
-def test_numbered(spark):
-    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"), F.lit("same").alias("y"))
-    found = numbered(rows, [F.asc("y"), F.desc("x")]).collect()
-    assert all(r.number == 4999 - r.x for r in found) and len(found) == 5000
-    assert numbered(rows.limit(0), [F.asc("x")]).collect() == []
-
-
 def test_gain_of_buckets(spark):
     pairs = lambda rows: spark.createDataFrame(rows, "bucket int, n bigint")
     gain = resampling.gains(pairs([(0, 3), (2, 1)]), pairs([(0, 1)]), 3)

@@ -2,8 +2,12 @@
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from staywise.workspace import cut_lineage, new_folder
 
@@ -15,6 +19,7 @@ __all__ = [
     "new_folder",
     "partitions",
     "stored_in_blocks",
+    "stored_in_even_blocks",
     "table",
     "unused",
     "words",
@@ -57,18 +62,52 @@ def unused(name: str, columns) -> str:
     return name
 
 
-def stored_in_blocks(docs: DataFrame) -> DataFrame:
-    """``docs`` stored with a ``block`` number, one block per partition of the input.
+def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` stored below the shared folder, dealt by ``block`` into buckets.
 
-    The table's files are told by block, so joining what belongs to a block to its rows
-    moves the former only.
+    What belongs to a block then joins its rows without moving them. The session can read
+    the files by buckets only as a table, which leaves the catalog at once; the files stay.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     name = f"blocks_{uuid.uuid4().hex}"
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     (
-        docs.withColumn("block", F.spark_partition_id())
-        .write.bucketBy(max(1, docs.rdd.getNumPartitions()), "block")
+        rows.write.bucketBy(max(1, min(buckets, most)), "block")
         .option("path", new_folder(spark, "blocks"))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def stored_in_blocks(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a ``block`` number, one block per partition of the input."""
+    blocks = docs.withColumn("block", F.spark_partition_id())
+    return _bucketed(blocks, docs.rdd.getNumPartitions())
+
+
+def stored_in_even_blocks(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """``docs`` stored with a ``block`` number; a block has about ``size`` bytes of ``text``.
+
+    It has more only where its last text alone does. Blocks do not depend on how the input
+    is cut, but that none lies in two partitions.
+    """
+
+    names = [*docs.columns, "block"]
+
+    def task(batches):
+        from pyspark import TaskContext
+
+        first, seen = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+            upto = seen + np.cumsum(np.asarray(lengths, dtype=np.int64))
+            before = np.append(seen, upto)[:-1]
+            seen = int(upto[-1]) if len(upto) else seen
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(first + before // size)], names
+            )
+
+    schema = StructType([*docs.schema.fields, StructField("block", LongType())])
+    return _bucketed(docs.mapInArrow(task, schema), docs.rdd.getNumPartitions())

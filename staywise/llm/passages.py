@@ -5,19 +5,20 @@ holds a phrase of ``phrase`` words that its own words choose, the one with the l
 so equal windows choose equal phrases and can be sought by phrase. Neighbouring windows
 mostly choose the same phrase; such a run of windows is handled as one.
 
-1. Texts are stored in blocks. Each block lists its runs, by phrase and by the run's words.
-   Dealt by phrase, the lists show which phrases recur, which runs recur whole, and which
-   phrases have runs that do not.
-2. For the latter, phrases are compiled into automata, the block's documents are streamed
-   through them, and the windows around each occurrence are listed and counted one by one.
-3. All recurring phrases of a block are compiled into automata, in shards of bounded size,
-   and all its documents are streamed through each. Around an occurrence the windows of a
-   recurring run, and single windows that recur, are marked, and covered words are dropped.
+1. Texts are stored in blocks of bounded size. Each block lists its runs, by phrase and by
+   the run's words. Added up over all blocks, the lists show which phrases recur, which runs
+   recur whole, and which phrases have runs that do not.
+2. Recurring phrases are confirmed: one block that has a phrase spells its words, and the
+   windows of runs that do not recur whole are listed and counted one by one.
+3. The phrases that occur in a block come to it as text, are compiled into automata, in
+   shards of bounded size, and the block's documents are streamed through each. Every
+   occurrence is where an automaton reports it; there the windows of a recurring run, and
+   single windows that recur, are marked, and covered words are dropped.
 
 An automaton holds the phrases of one block only, so automata grow with a block, not with
-the corpus, and every document meets all phrases that can occur in it. Within a block
-phrases are matched word by word; between blocks equality rests on hashes of a phrase and a
-run or window together, 128 bits.
+the corpus, and every document meets all phrases that can occur in it. Phrases are matched
+word by word; that a run or a window around one recurs rests on 128 bits, the hash of its
+phrase and its own.
 """
 
 from collections.abc import Iterator
@@ -28,21 +29,27 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from staywise.llm.common import BLOCK, cut_lineage, stored_in_blocks
+from staywise.llm.common import cut_lineage, stored_in_even_blocks
 
 WINDOW = 35
 PHRASE = 18
 #: Phrases in one automaton.
 SHARD = 1 << 14
+#: Bytes of text in a block.
+BLOCK = 1 << 22
 _SLICE = 1 << 18
 _FLUSH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bits for a place in a slice, which has fewer words.
 _PLACE = np.uint64((1 << 24) - 1)
-_LETTERS = 128
+#: Letters that spell a word.
+_DIGITS = 4
+#: Whether something occurs once or more is all that is counted: two bits beside a block.
+_ONCE, _COUNT = 2, 3
+_SPELL, _MIXED = 0, 1
 _PHRASE_KIND, _RUN_KIND, _WINDOW_KIND = 0, 1, 2
 
 
@@ -199,7 +206,7 @@ def _list_runs(window: int, phrase: int):
                 [
                     pa.array(phrases[first].view(np.int64)),
                     pa.array(runs.view(np.int64)),
-                    pa.array(counts | block << BLOCK),
+                    pa.array(np.minimum(counts, _COUNT) | block << _ONCE),
                 ],
                 ["phrase", "run", "slot"],
             )
@@ -224,50 +231,49 @@ def _list_runs(window: int, phrase: int):
     return task
 
 
-def _spelled(numbers: np.ndarray, digits: int) -> str:
-    """Each word's number as ``digits`` letters, another alphabet for each place, so that a
+def _spelled(numbers: np.ndarray, letters: int) -> str:
+    """Each word's number as ``_DIGITS`` letters, another alphabet for each place, so that a
     match starts and ends with a word and no node of a trie has many children."""
-    letters = np.empty((len(numbers), digits), dtype="<u2")
-    for place in range(digits):
-        letters[:, place] = numbers // _LETTERS**place % _LETTERS + _LETTERS * (place + 2)
-    return letters.tobytes().decode("utf-16-le")
+    spelled = np.empty((len(numbers), _DIGITS), dtype="<u2")
+    for place in range(_DIGITS):
+        spelled[:, place] = numbers // letters**place % letters + letters * place + 256
+    return spelled.tobytes().decode("utf-16-le")
 
 
-def _located(
-    pieces: list[Slice], words: int, wanted: np.ndarray, shard: int
+def _automata(phrases: list[str], shard: int) -> Iterator[ahocorasick.Automaton]:
+    """The phrases compiled, one shard at a time."""
+    for at in range(0, len(phrases), shard):
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for phrase in phrases[at : at + shard]:
+            automaton.add_word(phrase)
+        automaton.make_automaton()
+        yield automaton
+
+
+def occurrences(
+    pieces: list[Slice], vocabulary: Vocabulary, phrases: list[bytes], shard: int
 ) -> list[np.ndarray]:
-    """Each piece's runs around an occurrence of a wanted phrase; ``wanted`` rises.
+    """For each piece, which of its places a phrase starts at, as the automata report it.
 
-    Phrases are compiled as the block's documents spell them, a shard at a time, and all
-    pieces are streamed through each automaton.
+    ``phrases`` are words joined by spaces; all pieces are streamed through each shard.
     """
-    digits = 1
-    while words > _LETTERS**digits:
-        digits += 1
-    texts = [_spelled(piece.numbers, digits) for piece in pieces]
-    ranks = []
-    for piece in pieces:
-        keys = piece.phrases()
-        rank = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-        ranks.append(np.where(wanted[rank] == keys, rank, -1))
+    letters = 2
+    while letters**_DIGITS < len(vocabulary):
+        letters += 1
+    # A phrase with a word that no document of the block has occurs nowhere in it.
+    split = [words for words in (p.split(b" ") for p in phrases) if vocabulary.keys() >= set(words)]
+    size = len(split[0]) if split else 0
+    numbers = np.fromiter((vocabulary[w] for words in split for w in words), np.int64)
+    spelled = _spelled(numbers, letters)
+    wide = size * _DIGITS
+    sought = [spelled[k * wide : (k + 1) * wide] for k in range(len(split))]
+    texts = [_spelled(piece.numbers, letters) for piece in pieces]
     met = [np.zeros(len(piece.numbers), dtype=bool) for piece in pieces]
-    for at in range(0, len(wanted), shard):
-        spelled: dict[int, str] = {}
-        for piece, text, rank in zip(pieces, texts, ranks, strict=True):
-            held = np.flatnonzero((rank >= at) & (rank < at + shard))
-            for key, begin in zip(rank[held].tolist(), piece.at[held].tolist(), strict=True):
-                if key not in spelled:
-                    spelled[key] = text[begin * digits : (begin + piece.phrase) * digits]
-        if not spelled:
-            continue
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for phrase in spelled.values():
-            automaton.add_word(phrase)
-        automaton.make_automaton()
-        for piece, text, places in zip(pieces, texts, met, strict=True):
+    for automaton in _automata(sought, shard):
+        for text, places in zip(texts, met, strict=True):
             ends = np.fromiter((end for end, _ in automaton.iter(text)), np.int64)
-            places[(ends + 1) // digits - piece.phrase] = True
-    return [np.flatnonzero(places[piece.at]) for piece, places in zip(pieces, met, strict=True)]
+            places[(ends + 1) // _DIGITS - size] = True
+    return met
 
 
 def _keys(table: pa.Table, kind: int) -> np.ndarray:
@@ -275,54 +281,63 @@ def _keys(table: pa.Table, kind: int) -> np.ndarray:
     return np.unique(table.column("key").to_numpy()[chosen].view(np.uint64))
 
 
-def _list_windows(window: int, phrase: int, shard: int):
-    """The windows of all runs around the given phrases."""
+def _confirm(window: int, phrase: int):
+    """The words of phrases to spell, and the windows of all runs around mixed phrases."""
 
     def task(docs: pa.Table, given: pa.Table) -> pa.Table:
+        spelled: dict[int, bytes] = {}
         phrases, windows, block = [], [], 0
         if docs.num_rows and given.num_rows:
             block = docs.column("block")[0].as_py()
-            wanted = _keys(given, _PHRASE_KIND)
+            spell, mixed = _keys(given, _SPELL), _keys(given, _MIXED)
             vocabulary = Vocabulary()
             pieces = [p for p, _ in _slices(docs.column("text"), vocabulary, window, phrase)]
-            words = len(vocabulary)
-            del vocabulary
-            for piece, at in zip(
-                pieces, _located(pieces, words, wanted, shard), strict=True
-            ):
-                at = at[np.isin(piece.phrases()[at], wanted)]
+            words = list(vocabulary)
+            for piece in pieces:
+                keys = piece.phrases()
+                own, first = np.unique(keys, return_index=True)
+                for k in np.flatnonzero(np.isin(own, spell)):
+                    if int(own[k]) not in spelled:
+                        at = piece.at[first[k]]
+                        spelled[int(own[k])] = b" ".join(
+                            words[n] for n in piece.numbers[at : at + phrase]
+                        )
+                at = np.flatnonzero(np.isin(keys, mixed))
                 sizes = piece.hi[at] - piece.lo[at] + 1
-                first = np.repeat(piece.lo[at] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
-                windows.append(piece.windows(first + np.arange(len(first))))
-                phrases.append(np.repeat(piece.phrases()[at], sizes))
+                start = np.repeat(piece.lo[at] - np.append(0, np.cumsum(sizes)[:-1]), sizes)
+                windows.append(piece.windows(start + np.arange(len(start))))
+                phrases.append(np.repeat(keys[at], sizes))
         none = np.empty(0, dtype=np.uint64)
         found, first, counts = np.unique(
             np.concatenate([*windows, none]), return_index=True, return_counts=True
         )
+        owners = np.concatenate([*phrases, none])[first]
+        n = len(spelled)
         return pa.table(
             {
-                "phrase": np.concatenate([*phrases, none])[first].view(np.int64),
-                "window": found.view(np.int64),
-                "slot": counts.astype(np.int64) | block << BLOCK,
+                "phrase": np.concatenate([np.array(list(spelled), dtype=np.uint64), owners]).view(np.int64),
+                "words": pa.array([*spelled.values(), *[None] * len(found)], pa.binary()),
+                "window": np.concatenate([np.zeros(n, np.int64), found.view(np.int64)]),
+                "slot": np.concatenate(
+                    [np.zeros(n, np.int64), np.minimum(counts, _COUNT) | block << _ONCE]
+                ),
             }
         )
 
     return task
 
 
-def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
+def _drop(window: int, phrase: int, shard: int):
     """Each document without the words that recurring windows cover."""
 
-    def marked(texts, wanted, runs, single) -> dict[int, np.ndarray]:
+    def marked(texts, phrases, runs, single) -> dict[int, np.ndarray]:
         """By document, which of its words recurring windows cover."""
         marks: dict[int, np.ndarray] = {}
         vocabulary = Vocabulary()
         sliced = list(_slices(texts, vocabulary, window, phrase))
-        words = len(vocabulary)
-        # Words are numbers by now, and the automata need the room.
-        del vocabulary
-        located = _located([piece for piece, _ in sliced], words, wanted, shard)
-        for (piece, parts), at in zip(sliced, located, strict=True):
+        met = occurrences([piece for piece, _ in sliced], vocabulary, phrases, shard)
+        for (piece, parts), places in zip(sliced, met, strict=True):
+            at = np.flatnonzero(places[piece.at])
             whole = np.isin(piece.runs()[at], runs)
             edge = np.zeros(len(piece.numbers) + 1, dtype=np.int64)
             np.add.at(edge, piece.lo[at][whole], 1)
@@ -349,11 +364,11 @@ def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
     def task(docs: pa.Table, given: pa.Table) -> pa.Table:
         texts = docs.column("text")
         marks: dict[int, np.ndarray] = {}
-        wanted, runs, single = (
-            _keys(given, kind) for kind in (_PHRASE_KIND, _RUN_KIND, _WINDOW_KIND)
-        )
-        if len(wanted):
-            marks = marked(texts, wanted, runs, single)
+        chosen = given.column("kind").to_numpy() == _PHRASE_KIND
+        phrases = given.column("words").filter(pa.array(chosen)).to_pylist()
+        if phrases:
+            runs, single = (_keys(given, kind) for kind in (_RUN_KIND, _WINDOW_KIND))
+            marks = marked(texts, phrases, runs, single)
         counts, removed, kept = [], [], []
         for k, text in enumerate(texts):
             found = bytes(text.as_buffer()).split() if text.is_valid else []
@@ -369,7 +384,7 @@ def _drop(window: int, phrase: int, shard: int, key: pa.DataType):
         del kept
         return pa.table(
             {
-                "doc_id": docs.column("doc_id").combine_chunks().cast(key),
+                "doc_id": docs.column("doc_id"),
                 "n_words": pa.array(counts, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept": texts.cast(pa.string()),
@@ -396,51 +411,66 @@ def drop_repeats(
     """
     if not 1 <= phrase <= window:
         raise ValueError("a phrase lies within a window")
-    stored = stored_in_blocks(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    stored = stored_in_even_blocks(narrow, "text", BLOCK)
+    count = F.sum(F.col("slot").bitwiseAND(_COUNT))
+    block = F.shiftright("slot", _ONCE).alias("block")
+
+    # Read twice: to count phrases, and for the rows of those that recur.
+    dealt = cut_lineage(
+        stored.mapInArrow(_list_runs(window, phrase), _longs("phrase", "run", "slot"))
+    )
+    again = dealt.groupBy("phrase").agg(count.alias("n")).where("n > 1").select("phrase")
+    recurring = cut_lineage(dealt.join(again, "phrase").select("phrase", "run", "slot"))
+    runs = recurring.groupBy("phrase", "run").agg(count.alias("n"))
+    phrases = recurring.groupBy("phrase").agg(F.min(block).alias("home")).join(
+        runs.groupBy("phrase").agg((F.min("n") == 1).alias("mixed")), "phrase"
     )
-    count = F.sum(F.col("slot").bitwiseAND(F.lit((1 << BLOCK) - 1)))
-    block = F.shiftright("slot", BLOCK).cast("int").alias("block")
-
-    lists = stored.mapInArrow(_list_runs(window, phrase), _longs("phrase", "run", "slot"))
-    # Read more than once, as the windows below are.
-    dealt = cut_lineage(lists)
-    runs = dealt.groupBy("phrase", "run").agg(count.alias("n"))
-    phrases = (
-        runs.groupBy("phrase")
-        .agg(F.sum("n").alias("total"), (F.min("n") == 1).alias("mixed"))
-        .where("total > 1")
+    judged = runs.join(phrases, "phrase").select(
+        "phrase", "run", (F.col("n") > 1).alias("whole"), "mixed", "home"
     )
-    judged = runs.join(phrases, "phrase").select("phrase", "run", (F.col("n") > 1).alias("whole"), "mixed")
     found = cut_lineage(
-        dealt.join(judged, ["phrase", "run"]).select(block, "phrase", "run", "whole", "mixed")
+        recurring.join(judged, ["phrase", "run"]).select(
+            block, "phrase", "run", "whole", "mixed", "home"
+        )
     )
 
-    def keyed(rows: DataFrame, kind: int, key: str) -> DataFrame:
-        return rows.select("block", F.lit(kind).alias("kind"), F.col(key).alias("key")).distinct()
+    def keyed(rows: DataFrame, kind: int, key: str, words=None) -> DataFrame:
+        words = F.lit(None).cast("binary") if words is None else F.col(words)
+        return rows.select(
+            "block", F.lit(kind).alias("kind"), F.col(key).alias("key"), words.alias("words")
+        )
 
-    mixed = keyed(found.where("mixed"), _PHRASE_KIND, "phrase")
-    windows = cut_lineage(
+    asked = keyed(found.where("block = home"), _SPELL, "phrase").unionByName(
+        keyed(found.where("mixed"), _MIXED, "phrase")
+    ).distinct()
+    confirmed = cut_lineage(
         stored.groupBy("block")
-        .cogroup(mixed.groupBy("block"))
-        .applyInArrow(_list_windows(window, phrase, shard), _longs("phrase", "window", "slot"))
-    )
-    again = windows.groupBy("phrase", "window").agg(count.alias("n")).where("n > 1").drop("n")
-    single = cut_lineage(
-        windows.join(again, ["phrase", "window"]).select(block, "window")
-    )
+        .cogroup(asked.groupBy("block"))
+        .applyInArrow(
+            _confirm(window, phrase),
+            StructType([
+                StructField("phrase", LongType()), StructField("words", BinaryType()),
+                StructField("window", LongType()), StructField("slot", LongType()),
+            ]),
+        )
+    )
+    windows = confirmed.where("words is null")
+    more = windows.groupBy("phrase", "window").agg(count.alias("n")).where("n > 1").drop("n")
+    single = windows.join(more, ["phrase", "window"]).select(block, "window")
+    spelled = confirmed.where("words is not null").select("phrase", "words")
+    texts = found.select("block", "phrase").distinct().join(spelled, "phrase")
     given = (
-        keyed(found, _PHRASE_KIND, "phrase")
+        keyed(texts, _PHRASE_KIND, "phrase", "words")
         .unionByName(keyed(found.where("whole"), _RUN_KIND, "run"))
         .unionByName(keyed(single, _WINDOW_KIND, "window"))
     )
-    kind = stored.schema["doc_id"].dataType.simpleString()
-    arrow_kind = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[kind]
+    fields = [stored.schema["doc_id"], StructField("n_words", LongType()), StructField("n_removed", LongType())]
     return (
         stored.groupBy("block")
         .cogroup(given.groupBy("block"))
         .applyInArrow(
-            _drop(window, phrase, shard, arrow_kind),
-            f"doc_id {kind}, n_words bigint, n_removed bigint, kept string",
+            _drop(window, phrase, shard),
+            StructType([*fields, StructField("kept", StringType())]),
         )
     )

@@ -3,8 +3,8 @@
 Lengths are whole numbers up to the capacity, so a histogram of lengths, at most one row
 per possible length, says all that packing needs to know. The search fills one sequence at
 a time around the largest length left: it enumerates undominated fillings of the rest,
-least waste first, applies a filling as often as the histogram allows, and backtracks where
-the waste so far rules out beating the incumbent. Best-fit decreasing gives the first
+least waste first, applies a filling as often as the histogram allows, then fewer times, and
+backtracks where the waste so far rules out beating the incumbent. Best-fit decreasing gives the first
 incumbent, and a lower bound on the sequences ends the search.
 
 The search works on the histogram in the driver, whatever the number of documents. Its
@@ -219,70 +219,90 @@ def fillings(counts: dict[int, int], room: int) -> Iterator[Bin]:
                 yield filling
 
 
+class _Search:
+    """Depth-first over fillings around the largest length left, with the best result so far."""
+
+    def __init__(self, counts: dict[int, int], capacity: int, nodes: int):
+        self.counts, self.capacity, self.nodes = counts, capacity, nodes
+        self.total = sum(size * n for size, n in counts.items())
+        self.bound = lower_bound(counts, capacity)
+        self.best = best_fit(counts, capacity)
+        self.fewest = sum(n for _, n in self.best)
+
+    def _steps(self, left: dict[int, int], before: Bin | None, fewer: bool):
+        """Fillings with how often to use each: as often as may be, and then fewer times.
+
+        Fewer uses of the filling ``before`` have been tried already, as more uses of it.
+        """
+        largest = max(left)
+        others = dict(left)
+        others[largest] -= 1
+        for rest in fillings(others, self.capacity - largest):
+            filling = (largest, *rest)
+            if filling == before:
+                continue
+            most = min(left[size] // filling.count(size) for size in set(filling))
+            for times in range(most, 0 if fewer else most - 1, -1):
+                yield filling, times
+
+    def run(self, fewer: bool) -> None:
+        """Go on until the bound is met, nothing is left to try, or the nodes are used up."""
+        left, chosen = dict(self.counts), []
+        used = wasted = 0
+
+        def apply(filling: Bin, times: int) -> None:
+            nonlocal used, wasted
+            for size in set(filling):
+                n = left.get(size, 0) - times * filling.count(size)
+                if n:
+                    left[size] = n
+                else:
+                    left.pop(size, None)
+            used += times
+            wasted += times * (self.capacity - sum(filling))
+
+        def undo() -> None:
+            filling, times = chosen.pop()
+            apply(filling, -times)
+
+        stack = [self._steps(left, None, fewer)] if left else []
+        while stack and self.nodes and self.fewest > self.bound:
+            step = next(stack[-1], None)
+            if step is None:
+                stack.pop()
+                if chosen:
+                    undo()
+                continue
+            self.nodes -= 1
+            filling, times = step
+            waste = times * (self.capacity - sum(filling))
+            # What a better packing may waste in all.
+            if wasted + waste > (self.fewest - 1) * self.capacity - self.total:
+                continue
+            apply(filling, times)
+            chosen.append(step)
+            if left:
+                stack.append(self._steps(left, filling if fewer else None, fewer))
+                continue
+            if used < self.fewest:
+                self.best, self.fewest = list(chosen), used
+            undo()
+
+
 def complete(
     counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES
 ) -> list[tuple[Bin, int]]:
     """Fillings and how often each is used, for all of ``counts``: lengths to numbers.
 
-    The result is optimal if it meets the lower bound or the search ends within ``nodes``
-    fillings; else it is the best that was found.
+    A first search uses each filling as often as it can, which suits long histograms; if that
+    has nothing left to try, a second one branches on how often a filling is used as well.
+    The result is optimal if it meets the lower bound or both end within ``nodes`` fillings;
+    else it is the best that was found.
     """
-    counts = {size: n for size, n in counts.items() if n}
-    total = sum(size * n for size, n in counts.items())
-    bound = lower_bound(counts, capacity)
-    best = best_fit(counts, capacity)
-    fewest = sum(n for _, n in best)
-    left = dict(counts)
-    chosen: list[tuple[Bin, int]] = []
-    stack: list[Iterator[Bin]] = []
-    used, wasted = 0, 0
-
-    def options() -> Iterator[Bin]:
-        largest = max(left)
-        others = dict(left)
-        others[largest] -= 1
-        return ((largest, *rest) for rest in fillings(others, capacity - largest))
-
-    def apply(filling: Bin, times: int) -> None:
-        for size in set(filling):
-            n = left.get(size, 0) - times * filling.count(size)
-            if n:
-                left[size] = n
-            else:
-                left.pop(size, None)
-
-    if left and fewest > bound:
-        stack.append(options())
-    while stack and nodes and fewest > bound:
-        filling = next(stack[-1], None)
-        if filling is None:
-            stack.pop()
-            if chosen:
-                undone, times = chosen.pop()
-                apply(undone, -times)
-                used -= times
-                wasted -= times * (capacity - sum(undone))
-            continue
-        nodes -= 1
-        times = min(left[size] // filling.count(size) for size in set(filling))
-        waste = times * (capacity - sum(filling))
-        # What a better packing may waste in all.
-        if wasted + waste > (fewest - 1) * capacity - total:
-            continue
-        apply(filling, times)
-        chosen.append((filling, times))
-        used += times
-        wasted += waste
-        if left:
-            stack.append(options())
-            continue
-        if used < fewest:
-            best, fewest = list(chosen), used
-        undone, times = chosen.pop()
-        apply(undone, -times)
-        used -= times
-        wasted -= times * (capacity - sum(undone))
-    return best
+    search = _Search({size: n for size, n in counts.items() if n}, capacity, nodes)
+    search.run(fewer=False)
+    search.run(fewer=True)
+    return search.best
 
 
 def _slots(packed: list[tuple[Bin, int]]) -> np.ndarray:
@@ -313,27 +333,30 @@ def pack(
     All columns and rows stay, repeated ones too; columns named like the added ones are
     replaced. The input is stored first, since it is read more than once.
     """
-    own = ("sequence_id", "offset", "_chunk", "_before", "_row", "_rank")
-    stored = cut_lineage(parts.drop(*own))
+    stored = cut_lineage(parts.drop("sequence_id", "offset"))
     n, least, most = stored.agg(F.count("*"), F.min("length"), F.max("length")).first()
     if n and not 1 <= least <= most <= capacity:
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     chunks = math.ceil(math.sqrt(n)) or 1
-    placed = stored.withColumn(
-        "_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int")
+    # The user's columns stay together, so that none is taken for one of those beside it.
+    placed = stored.select(
+        F.struct(*stored.columns).alias("kept"),
+        F.struct(*order).alias("order"),
+        F.col("length"),
+        F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int").alias("chunk"),
     )
-    sums = cut_lineage(placed.groupBy("length", "_chunk").agg(F.count("*").alias("_n")))
-    counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    sums = cut_lineage(placed.groupBy("length", "chunk").agg(F.count("*").alias("n")))
+    counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = _slots(complete(counts, capacity, nodes))
-    earlier = W.partitionBy("length").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("length").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(
-        "length", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+        "length", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    inside = W.partitionBy("length", "_chunk").orderBy(*order)
+    inside = W.partitionBy("length", "chunk").orderBy("order")
     ranked = (
-        placed.withColumn("_row", F.row_number().over(inside) - 1)
-        .join(starts, ["length", "_chunk"])
-        .withColumn("_rank", F.col("_before") + F.col("_row"))
+        placed.withColumn("row", F.row_number().over(inside) - 1)
+        .join(starts, ["length", "chunk"])
+        .withColumn("rank", F.col("before") + F.col("row"))
     )
     keys = slots[:, 0] << 44 | slots[:, 1]
 
@@ -350,5 +373,5 @@ def pack(
             ["sequence_id", "offset"],
         )
 
-    found = ranked.withColumn("_slot", slot(F.col("length").cast("bigint"), "_rank"))
-    return found.select(*stored.columns, "_slot.sequence_id", "_slot.offset")
+    found = ranked.withColumn("slot", slot(F.col("length").cast("bigint"), "rank"))
+    return found.select("kept.*", "slot.sequence_id", "slot.offset")

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from staywise.llm import packing
@@ -125,3 +126,80 @@ def test_search_goes_on_to_the_bound():
     counts = dict(Counter(map(int, sizes.split())))
     assert sum(n for _, n in packing.complete(counts, 100)) == packing.lower_bound(counts, 100) == 21
     assert sum(n for _, n in packing.complete(counts, 100, 2_000)) == 22
+
+
+def fewest_of(counts, capacity):
+    """Brute force over how often each length goes beside the largest one left."""
+    from functools import cache
+
+    sizes = sorted(counts, reverse=True)
+
+    @cache
+    def need(left):
+        if not any(left):
+            return 0
+        first = next(i for i, n in enumerate(left) if n)
+        options = [((), capacity - sizes[first])]
+        for i, n in enumerate(left):
+            n -= i == first
+            options = [
+                (taken + (k,), room - k * sizes[i])
+                for taken, room in options
+                for k in range(n + 1)
+                if k * sizes[i] <= room
+            ]
+        return 1 + min(
+            need(tuple(n - k - (i == first) for i, (n, k) in enumerate(zip(left, taken, strict=True))))
+            for taken, _ in options
+        )
+
+    return need(tuple(counts[s] for s in sizes))
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.dictionaries(st.integers(4, 25), st.integers(1, 4), min_size=1, max_size=5))
+def test_optimal_with_repeated_lengths(counts):
+    packed = packing.complete(counts, 50, 10**9)
+    placed = Counter()
+    for filling, n in packed:
+        assert sum(filling) <= 50
+        for size in filling:
+            placed[size] += n
+    assert placed == Counter(counts)
+    assert sum(n for _, n in packed) == fewest_of(counts, 50)
+
+
+def test_a_filling_is_used_less_often_than_it_could_be():
+    """Using every filling as often as it can be takes 6 sequences here."""
+    counts = {21: 4, 19: 3, 17: 3, 13: 1, 11: 3}
+    assert sum(n for _, n in packing.complete(counts, 50, 10**9)) == 5 == fewest_of(counts, 50)
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, 0, 300 + i, i, f"r{i}", -i, "c") for i in range(20)]
+    names = "doc_id long, piece int, length int, _row int, chunk string, rank int, kept string"
+    parts = spark.createDataFrame(rows, names).withColumn("_chunk", F.lit(1)).withColumn("order", F.lit(2))
+    found = packing.pack(parts)
+    assert found.columns == [*parts.columns, "sequence_id", "offset"]
+    assert sorted(tuple(r)[:-2] for r in found.collect()) == sorted(map(tuple, parts.collect()))
+    laid_out(found.collect())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=200) | st.lists(st.sampled_from(
+    ["<|endoftext|>", "<|endoftext", " ", "  ", "\n", "\r\n", "\t", "a", "A's", "'ll", "é", "é", "日本", "😀", "0", "123",
+     " ", " ", "﻿", "\x00", "\x85", "١٢", "ß", "_", "-", "...", "퟿", "\U0010ffff"]
+), max_size=30).map("".join))
+def test_ids_are_those_of_the_named_tokenizer(text):
+    assert ENCODE(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_all_texts(spark):
+    for name in ("documents", "benchmark"):
+        for row in spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet").select("text").collect():
+            text = row.text or ""
+            assert ENCODE(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+ENCODE = packing.encoder()
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))

@@ -9,8 +9,9 @@ only in the list of the two least pivots that it shares.
 Pivots are a bounded sample of the vectors, about the square root of their number, so lists
 stay short as the input grows. Of sampled vectors near each other one is a pivot: members of
 a large group of near vectors would rank many pivots among them by their own noise. Fixed
-directions take the free places up to the fewest pivots. Equal vectors are one member with a weight, and long lists
-are cut into tiles that many tasks share.
+directions, made from the length alone, take the free places up to the fewest pivots, also
+for lengths of which the sample has no vector. Equal vectors are one member with a weight,
+and long lists are cut into tiles that many tasks share.
 """
 
 import math
@@ -44,7 +45,12 @@ def _matrix(column: pa.Array | pa.ChunkedArray, length: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, length)
 
 
-def _nearest(pivots: dict[int, np.ndarray], first: int):
+def _fixed(length: int, number: int) -> np.ndarray:
+    """Directions that follow from the length."""
+    return _unit(np.random.default_rng(length).normal(size=(number, length)))
+
+
+def _nearest(pivots: dict[int, np.ndarray], first: int, fewest: int):
     """The numbers of a vector's nearest pivots, among those of its length, rising."""
 
     @arrow_udf(ArrayType(IntegerType()))
@@ -53,7 +59,8 @@ def _nearest(pivots: dict[int, np.ndarray], first: int):
         rows: list[list[int]] = [[]] * len(lengths)
         for length in np.unique(lengths):
             own = np.flatnonzero(lengths == length)
-            points = pivots[int(length)]
+            points = pivots.get(int(length))
+            points = _fixed(int(length), fewest) if points is None else points
             cosines = _unit(_matrix(vectors.take(pa.array(own)), int(length))) @ points.T
             ranked = np.argsort(-cosines, axis=1, kind="stable")[:, :first]
             for row, found in zip(own, np.sort(ranked, axis=1).tolist(), strict=True):
@@ -76,27 +83,23 @@ def _thinned(units: np.ndarray, apart: float, fewest: int) -> np.ndarray:
     missing = fewest - len(kept)
     if missing <= 0 or not units.shape[1]:
         return kept
-    fixed = np.random.default_rng(units.shape[1]).normal(size=(missing, units.shape[1]))
-    return np.concatenate([kept, _unit(fixed)])
+    return np.concatenate([kept, _fixed(units.shape[1], missing)])
 
 
-def _sample(distinct: DataFrame, size: int, cosine: float) -> dict[int, np.ndarray]:
-    """Pivots by vector length: of each length the first ``size`` by a hash, as units, thinned
-    to twice the angle of ``cosine``."""
+def _sample(
+    distinct: DataFrame, size: int, fewest: int, cosine: float
+) -> dict[int, np.ndarray]:
+    """Pivots by vector length: the first ``size`` vectors by a hash, of whatever lengths, as
+    units, thinned to twice the angle of ``cosine``."""
     apart = math.cos(min(2 * math.acos(max(-1.0, min(1.0, cosine))), math.pi))
-    lengths = [r[0] for r in distinct.select(F.size("vector")).distinct().limit(size).collect()]
-    found = {}
-    for length in lengths:
-        rows = (
-            distinct.where(F.size("vector") == length)
-            .orderBy(F.xxhash64("vector"), "node")
-            .limit(size)
-            .select("vector")
-            .collect()
-        )
-        units = _unit(np.array([r["vector"] for r in rows], dtype=np.float64))
-        found[length] = _thinned(units, apart, min(size, PIVOTS[0]))
-    return found
+    rows = distinct.orderBy(F.xxhash64("vector"), "node").limit(size).select("vector").collect()
+    by_length: dict[int, list] = {}
+    for row in rows:
+        by_length.setdefault(len(row["vector"]), []).append(row["vector"])
+    return {
+        length: _thinned(_unit(np.array(vectors, dtype=np.float64)), apart, fewest)
+        for length, vectors in by_length.items()
+    }
 
 
 def _found(cosine: float, shared: int, first: int):
@@ -149,8 +152,10 @@ def _found(cosine: float, shared: int, first: int):
     return found
 
 
-def _postings(distinct: DataFrame, pivots: dict[int, np.ndarray], first: int) -> DataFrame:
-    described = distinct.withColumn("pivots", _nearest(pivots, first)("vector"))
+def _postings(
+    distinct: DataFrame, pivots: dict[int, np.ndarray], first: int, fewest: int
+) -> DataFrame:
+    described = distinct.withColumn("pivots", _nearest(pivots, first, fewest)("vector"))
     places = [(i, j) for i in range(first) for j in range(i + 1, first)]
     pairs = F.array(
         *[
@@ -206,8 +211,12 @@ def classes(
     )
     n = distinct.count()
     size = pivots or min(max(math.isqrt(n), PIVOTS[0]), PIVOTS[1])
+    fewest = min(size, PIVOTS[0])
     postings = _postings(
-        distinct.select("node", "class", "vector", "weight"), _sample(distinct, size, cosine), first
+        distinct.select("node", "class", "vector", "weight"),
+        _sample(distinct, size, fewest, cosine),
+        first,
+        fewest,
     )
     placed = pairing.tiled(postings, "list", F.xxhash64("node"), tile)
     found = cut_lineage(

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from staywise.llm.common import cut_lineage
+
 K = 5
 SCALE = 256.0
 ROWS, QUERIES = 8192, 1024
@@ -34,8 +36,9 @@ def usable(vector: Column) -> Column:
 class Block:
     """Rows with their components in whole numbers, sorted per dimension."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
+    def __init__(self, ids: np.ndarray, values: np.ndarray, rows: np.ndarray | None = None):
         self.ids, self.values = ids, values
+        self.rows = ids if rows is None else rows
         self.order = np.argsort(values, axis=0, kind="stable")
         self.largest = float(np.abs(values).max(initial=0))
 
@@ -50,10 +53,10 @@ class Block:
         return np.array(scores, dtype=object)
 
     def best(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """(row's key, score) of the k best, without the query's own row."""
+        """(row's key, score) of the k best, without the query's ``own`` row."""
         n = len(self.ids)
         used = np.flatnonzero(query)
-        met = self.ids == own
+        met = self.rows == own
         top_ids, top = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         depth, step = 0, _FIRST
         while depth < n:
@@ -101,14 +104,19 @@ def _search(k: int, scale: float):
     def task(rows: pa.Table, queries: pa.Table) -> pa.Table:
         found: list[tuple[int, int, int]] = []
         if rows.num_rows and queries.num_rows:
-            block = Block(rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"), scale))
+            ids, nodes = rows.column("vec_id").to_numpy(), rows.column("node").to_numpy()
+            block = Block(ids, _matrix(rows.column("vector"), scale), nodes)
             weights = _matrix(queries.column("vector"), scale)
-            for own, query in zip(queries.column("vec_id").to_pylist(), weights, strict=True):
-                found += [(own, row, score) for row, score in block.best(own, query, k)]
-        own, row, scores = zip(*found, strict=True) if found else ((), (), ())
+            asked = zip(
+                queries.column("vec_id").to_pylist(), queries.column("node").to_pylist(), strict=True
+            )
+            for (own, node), query in zip(asked, weights, strict=True):
+                found += [(own, node, row, score) for row, score in block.best(node, query, k)]
+        own, node, row, scores = zip(*found, strict=True) if found else ((), (), (), ())
         return pa.table(
             {
                 "query_id": pa.array(own, pa.int64()),
+                "node": pa.array(node, pa.int64()),
                 "vec_id": pa.array(row, pa.int64()),
                 "score": pa.array([max(-_LONG, min(_LONG, s)) for s in scores], pa.int64()),
             }
@@ -130,19 +138,18 @@ def top(
     """(query_id, rank, vec_id, score): for each query its ``k`` best other rows.
 
     Components count as ``floor(scale * x)``; ties go to the smaller key. Rows without a
-    key, and vectors that are null or hold null or non-finite components, take no part. Of
-    several rows with one key the least vector counts. Vectors are compared with those of
-    their own length. Scores beyond a long are cut to it.
+    key, and vectors that are null or hold null or non-finite components, take no part. Rows
+    that share a key are rows of their own: each is a candidate for the others, and each
+    that asks has its own ranks. Vectors are compared with those of their own length. Scores
+    beyond a long are cut to it.
     """
-    single = (
-        vectors.where(F.col(key).isNotNull() & usable(F.col(vector)))
-        .select(
+    single = cut_lineage(
+        vectors.where(F.col(key).isNotNull() & usable(F.col(vector))).select(
             F.col(key).cast("bigint").alias("vec_id"),
             F.col(vector).alias("vector"),
-            is_query.alias("asks"),
+            F.coalesce(is_query, F.lit(False)).alias("asks"),
+            F.monotonically_increasing_id().alias("node"),
         )
-        .groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"), F.max("asks").alias("asks"))
     )
     n, asking = single.agg(F.count("*"), F.count_if("asks")).first()
     row_blocks, query_blocks = (max(1, math.ceil(m / size)) for m, size in ((n, rows), (asking, queries)))
@@ -150,21 +157,24 @@ def top(
     def dealt(df: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         return df.select(
             "vec_id",
+            "node",
             "vector",
             F.size("vector").alias("length"),
-            F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias(own),
+            F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
         )
 
     keys = ["length", "row_block", "query_block"]
     all_rows = dealt(single, "row_block", row_blocks, "query_block", query_blocks)
-    all_queries = dealt(single.where("asks"), "query_block", query_blocks, "row_block", row_blocks)
+    # A table of their own: Spark does not tell the columns of two sides of one table apart.
+    asked = cut_lineage(single.where("asks"))
+    all_queries = dealt(asked, "query_block", query_blocks, "row_block", row_blocks)
     found = (
         all_rows.groupBy(*keys)
         .cogroup(all_queries.groupBy(*keys))
-        .applyInArrow(_search(k, scale), "query_id bigint, vec_id bigint, score bigint")
+        .applyInArrow(_search(k, scale), "query_id bigint, node bigint, vec_id bigint, score bigint")
     )
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("node").orderBy(F.desc("score"), "vec_id")
     return found.select(
         "query_id", F.row_number().over(best).alias("rank"), "vec_id", "score"
     ).where(F.col("rank") <= k)

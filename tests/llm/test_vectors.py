@@ -178,3 +178,37 @@ def test_links_of_a_large_group_of_near_vectors(spark):
     expected = int((np.triu(units @ units.T, 1) >= 0.98).sum()) * 2
     found = pivots.classes(table(spark, rows)).agg(F.sum("n_links")).first()[0]
     assert expected > 10_000 and 0.999 * expected <= found <= expected
+
+
+def test_vectors_of_very_many_lengths(spark):
+    """More lengths than pivots: each length has directions of its own."""
+    draw = np.random.default_rng(2)
+    rows = []
+    for i in range(140):
+        length = 1 + i // 2
+        base = np.random.default_rng(length).normal(size=length)
+        rows.append((i, (base + draw.normal(size=length) * 0.02).tolist(), 0))
+    expected = slow_classes([(i, np.float32(v).tolist(), c) for i, v, c in rows], 0.98)
+    found = pivots.classes(table(spark, rows))
+    assert Counter(map(tuple, found.collect())) == expected
+    assert sum(k[1] for k in expected) >= 130
+    assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
+
+
+def test_rows_that_share_a_key_all_take_part(spark):
+    """Each is a candidate for the others and has ranks of its own."""
+    draw = np.random.default_rng(8)
+    keys = [0, 0, 50, 50, 50, 7, 7, 3, 9, 11, 100]
+    rows = [(k, draw.normal(size=4).tolist(), 0) for k in keys] + [(7, [1.0, 0.0, 0.0, 0.0], 0)] * 2
+    held = [(i, [int(np.floor(256.0 * x)) for x in np.float32(v)]) for i, v, _ in rows]
+    expected = Counter()
+    for a, (q, w) in enumerate(held):
+        if q % 50:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(w, v, strict=True)), i) for b, (i, v) in enumerate(held) if a != b
+        )
+        expected.update((q, rank, i, -s) for rank, (s, i) in enumerate(scored[:5], 1))
+    for blocks in ((8192, 1024), (3, 2)):
+        found = topk.top(table(spark, rows), F.col("vec_id") % 50 == 0, rows=blocks[0], queries=blocks[1])
+        assert Counter(map(tuple, found.collect())) == expected

@@ -23,10 +23,6 @@ from staywise.llm.common import cut_lineage, words
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 ADDED = ("size", "source_size", "target", "copies", "taken")
-OWN = (
-    "_source", "_id", "_size", "_order", "_bucket", "_inside", "_upto", "_start", "_words",
-    "_longest", "_weight", "_place", "_budget", "_level", "_target",
-)
 
 
 def _order(seed: str, doc_id: str) -> Column:
@@ -178,10 +174,18 @@ def mix(
 
     The order depends on ``seed`` and the key alone, so reruns agree. Null and empty texts
     have size 0 and are not taken. Repeated rows are rows of their own; null keys share a
-    place in the order. Columns named like the added ones, or like the operator's own, which
-    start with ``_``, are replaced.
+    place in the order. Columns named like the added ones are replaced.
     """
-    docs = docs.drop(*ADDED, *OWN)
+    docs = docs.drop(*ADDED)
+    # The user's columns stay together, so that none is taken for one of those beside it.
+    names = docs.columns
+    docs = docs.select(
+        F.struct(*names).alias("_kept"),
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).alias("source"),
+        F.col(text).alias("text"),
+    )
+    doc_id, source, text = "doc_id", "source", "text"
     n = docs.count()
     buckets = math.ceil(math.sqrt(n)) or 1
     narrow = docs.select(doc_id, source, text)
@@ -204,7 +208,7 @@ def mix(
             copies = copies + earlier.cast("int")
     copies = F.when(F.col("_size") > 0, copies).otherwise(0)
     return placed.select(
-        *[F.col(c) for c in docs.columns],
+        *[F.col("_kept")[c].alias(c) for c in names],
         F.col("_size").alias("size"),
         F.col("_words").alias("source_size"),
         F.col("_target").alias("target"),

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staywise.llm.common import cut_lineage
+from staywise.llm.common import cut_lineage, unused
 
 # Titles by the gender they tell.
 MALE = ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин")
@@ -351,30 +351,31 @@ def replace(
     unchanged. Rows are replaced alike wherever they stand, so repeated rows stay equal.
     Every row and column stays; a column named ``n_entities`` is replaced.
     """
-    docs = docs.drop("n_entities", "_row", "_attempts")
+    docs = docs.drop("n_entities")
     row = F.xxhash64(doc_id, text)
+    own, tried = unused("row", docs.columns), unused("attempts", docs.columns)
     held = F.regexp_like(F.col(text), F.lit(ANY))
     found = F.flatten(F.transform(entities(F.col(text)), parts))
     mentioned = cut_lineage(
-        docs.where(held).select(row.alias("_row"), F.inline(F.array_distinct(found)))
+        docs.where(held).select(row.alias(own), F.inline(F.array_distinct(found)))
     )
     later = _attempts(mentioned.select("kind", "real").distinct(), key)
     # Stored, so that its size is known before the join: short tables are broadcast, and
     # only a long one makes the texts move.
     by_row = cut_lineage(
         mentioned.join(later, ["kind", "real"])
-        .groupBy("_row")
+        .groupBy(own)
         .agg(
             F.map_from_entries(
                 F.collect_set(F.struct(F.concat_ws("|", "kind", "real"), "attempt"))
-            ).alias("_attempts")
+            ).alias(tried)
         )
     )
-    joined = docs.withColumn("_row", row).join(by_row, "_row", "left")
+    joined = docs.withColumn(own, row).join(by_row, own, "left")
     between = F.split(F.col(text), ANY, -1)
     new = F.transform(
         entities(F.col(text)),
-        lambda e: _let(parts(e), lambda p: _written(e, p, F.col("_attempts"), key)),
+        lambda e: _let(parts(e), lambda p: _written(e, p, F.col(tried), key)),
     )
     rewritten = F.array_join(
         F.zip_with(between, new, lambda before, x: F.concat(before, F.coalesce(x, F.lit("")))), ""

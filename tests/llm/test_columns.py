@@ -226,3 +226,19 @@ def test_long_secrets_and_names_with_a_prefix(spark):
     assert not any(new[i : i + 12] in old for i in range(len(new) - 11))
     for row, name in zip(found[1:], names, strict=True):
         assert re.fullmatch(rf"export {name}[A-Za-z0-9]{{16}} end", row.text) and value not in row.text
+
+
+def test_columns_named_like_anything(spark):
+    """All of a user's columns come back from operators that keep them."""
+    rows = [(i, f"mail a{i % 7}@b.org {'x ' * i}", f"s{i % 3}", i, f"r{i}") for i in range(30)]
+    names = ("_row", "_id", "_attempts", "_chunk", "_source", "_size", "_upto", "row", "attempts", "kind", "_kept")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _target long, real string")
+    docs = docs.withColumns({n: F.lit(k) for k, n in enumerate(names)})
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, *mixing.ADDED]
+    assert sorted(tuple(r)[: len(docs.columns)] for r in mixed.collect()) == sorted(map(tuple, docs.collect()))
+    replaced = surrogates.replace(docs, "k")
+    assert replaced.columns == [*docs.columns, "n_entities"]
+    others = [c for c in docs.columns if c != "text"]
+    assert sorted(map(tuple, replaced.select(others).collect())) == sorted(map(tuple, docs.select(others).collect()))
+    assert {r.n_entities for r in replaced.collect()} == {1}

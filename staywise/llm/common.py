@@ -1,13 +1,10 @@
 """What several operators share: words, held-out rows, tables in the shared folder."""
 
+import math
 import uuid
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from staywise.workspace import cut_lineage, new_folder
 
@@ -90,24 +87,13 @@ def stored_in_blocks(docs: DataFrame) -> DataFrame:
 def stored_in_even_blocks(docs: DataFrame, text: str, size: int) -> DataFrame:
     """``docs`` stored with a ``block`` number; a block has about ``size`` bytes of ``text``.
 
-    It has more only where its last text alone does. Blocks do not depend on how the input
-    is cut, but that none lies in two partitions.
+    Every input partition is dealt into as many blocks as the largest one needs, where a
+    text counts as ``size`` at most: one that is longer takes its block over by itself.
     """
-
-    names = [*docs.columns, "block"]
-
-    def task(batches):
-        from pyspark import TaskContext
-
-        first, seen = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
-            upto = seen + np.cumsum(np.asarray(lengths, dtype=np.int64))
-            before = np.append(seen, upto)[:-1]
-            seen = int(upto[-1]) if len(upto) else seen
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(first + before // size)], names
-            )
-
-    schema = StructType([*docs.schema.fields, StructField("block", LongType())])
-    return _bucketed(docs.mapInArrow(task, schema), docs.rdd.getNumPartitions())
+    length = F.least(F.coalesce(F.octet_length(text), F.lit(0)), F.lit(size))
+    each = docs.groupBy(F.spark_partition_id()).agg(F.sum(length).alias("n"))
+    most = each.agg(F.max("n")).first()[0] or 0
+    row = F.xxhash64(F.monotonically_increasing_id())
+    inside = F.pmod(row, F.lit(max(1, math.ceil(most / size))))
+    first = F.shiftleft(F.spark_partition_id().cast("bigint"), 32)
+    return _bucketed(docs.withColumn("block", first + inside), docs.rdd.getNumPartitions())

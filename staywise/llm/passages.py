@@ -34,7 +34,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from staywise.llm.common import cut_lineage, stored_in_even_blocks
 
 WINDOW = 35
-PHRASE = 18
+PHRASE = 12
 #: Phrases in one automaton.
 SHARD = 1 << 14
 #: Bytes of text in a block.
@@ -70,16 +70,32 @@ class Vocabulary(dict):
     def __init__(self):
         super().__init__()
         self.hashes: list[int] = []
+        self._array = np.empty(0, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self.hashes)
         self.hashes.append(xxhash.xxh64_intdigest(word))
         return number
 
+    def array(self) -> np.ndarray:
+        """The hashes by number."""
+        known = len(self._array)
+        if known < len(self.hashes):
+            more = np.array(self.hashes[known:], dtype=np.uint64)
+            self._array = np.append(self._array, more)
+        return self._array
+
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
+def _words_met(held: dict) -> Vocabulary:
+    """The vocabulary of a task's blocks, which share most of their words, while it is short."""
+    if len(held.get("words", ())) > _FLUSH:
+        del held["words"]
+    return held.setdefault("words", Vocabulary())
+
+
 class Powers:
     """Powers of the base and of its inverse, computed once for slices of any size."""
 
@@ -163,13 +179,10 @@ def _slices(
     part. A long text is cut into parts that overlap by less than a window, so each of its
     windows is in one part."""
     numbers, ends, parts, powers = [], [0], [], Powers()
-    hashes = np.empty(0, dtype=np.uint64)
 
     def made():
-        nonlocal hashes
-        hashes = np.append(hashes, np.array(vocabulary.hashes[len(hashes) :], dtype=np.uint64))
         joined = np.concatenate(numbers)
-        return Slice(joined, np.array(ends[1:]), hashes, window, phrase, powers), parts
+        return Slice(joined, np.array(ends[1:]), vocabulary.array(), window, phrase, powers), parts
 
     for k, text in enumerate(texts):
         found = bytes(text.as_buffer()).split() if text.is_valid else []
@@ -284,13 +297,15 @@ def _keys(table: pa.Table, kind: int) -> np.ndarray:
 def _confirm(window: int, phrase: int):
     """The words of phrases to spell, and the windows of all runs around mixed phrases."""
 
+    held: dict = {}
+
     def task(docs: pa.Table, given: pa.Table) -> pa.Table:
         spelled: dict[int, bytes] = {}
         phrases, windows, block = [], [], 0
         if docs.num_rows and given.num_rows:
             block = docs.column("block")[0].as_py()
             spell, mixed = _keys(given, _SPELL), _keys(given, _MIXED)
-            vocabulary = Vocabulary()
+            vocabulary = _words_met(held)
             pieces = [p for p, _ in _slices(docs.column("text"), vocabulary, window, phrase)]
             words = list(vocabulary)
             for piece in pieces:
@@ -330,10 +345,12 @@ def _confirm(window: int, phrase: int):
 def _drop(window: int, phrase: int, shard: int):
     """Each document without the words that recurring windows cover."""
 
+    held: dict = {}
+
     def marked(texts, phrases, runs, single) -> dict[int, np.ndarray]:
         """By document, which of its words recurring windows cover."""
         marks: dict[int, np.ndarray] = {}
-        vocabulary = Vocabulary()
+        vocabulary = _words_met(held)
         sliced = list(_slices(texts, vocabulary, window, phrase))
         met = occurrences([piece for piece, _ in sliced], vocabulary, phrases, shard)
         for (piece, parts), places in zip(sliced, met, strict=True):

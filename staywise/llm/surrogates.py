@@ -9,8 +9,10 @@ the gender of the title, a card's check digit.
 
 Attempts are 0 but for collisions. All distinct parts and their surrogates are compared:
 where two parts share a surrogate, or a surrogate is some real part, the first keeps it and
-the others try the next attempt, until none is left. The few parts with later attempts are
-joined to the documents that mention them. Texts without entities come out unchanged.
+the others try the next attempt, until none is left. From attempt ``_LONGER`` on a surrogate
+is longer than the part by the attempt's digits, so that no two attempts can meet and the
+surrogates of a kind never run out. The few parts with later attempts are joined to the
+documents that mention them. Texts without entities come out unchanged.
 """
 
 from collections.abc import Callable
@@ -65,9 +67,8 @@ _ENDINGS = {
     "surname_f": {"latin": "man", "cyrillic": "ова"},
     "surname_e": {"latin": "man", "cyrillic": "ко"},
 }
-#: Attempts after which a kind of open length grows instead of changing again.
+#: Attempts after which surrogates get longer.
 _LONGER = 12
-_LIMIT = 200
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -172,12 +173,12 @@ def _luhn(digits: Column) -> Column:
     return (10 - total % 10) % 10
 
 
-def _card(real: Column, digest: Column) -> Column:
+def _card(real: Column, digest: Column, tail: Column) -> Column:
     """First digit kept; the check digit is right if and only if the real one is."""
     body = lambda x: F.substr(x, F.lit(1), F.length(x) - 1)
     off = F.pmod(F.substr(real, F.length(real), F.lit(1)).cast("int") - _luhn(body(real)), F.lit(10))
     return _let(
-        body(_scrambled(real, digest, 1)),
+        F.concat(body(_scrambled(real, digest, 1)), tail),
         lambda new: F.concat(new, ((_luhn(new) + off) % 10).cast("string")),
     )
 
@@ -218,19 +219,29 @@ def stand_in(kind: Column, real: Column, attempt: Column, key: str) -> Column:
                 kind == "email",
                 F.concat(_scrambled(local, digest), tail, F.lit("@"), host, F.lit(".example")),
             )
-            .when(kind == "ip", F.array_join(octets.cast("array<string>"), "."))
-            .when(kind == "card", _card(real, digest))
-            .when(kind == "ssn", F.concat(F.lit("9"), F.substr(_scrambled(real, digest), F.lit(2))))
+            .when(
+                kind == "ip",
+                F.concat(
+                    F.array_join(octets.cast("array<string>"), "."),
+                    F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(""),
+                ),
+            )
+            .when(kind == "card", _card(real, digest, tail))
+            .when(
+                kind == "ssn",
+                F.concat(F.lit("9"), F.substr(_scrambled(real, digest), F.lit(2)), tail),
+            )
             .when(
                 kind == "phone",
                 # Area codes start with 2 to 9.
                 F.concat(
                     (2 + _byte(digest, F.lit(64)) % 8).cast("string"),
                     F.substr(_scrambled(real, digest), F.lit(2)),
+                    tail,
                 ),
             )
-            .when(kind == "key", _scrambled(real, digest, 4))
-            .when(kind == "iban", _scrambled(real, digest, 2))
+            .when(kind == "key", F.concat(_scrambled(real, digest, 4), tail))
+            .when(kind == "iban", F.concat(_scrambled(real, digest, 2), tail))
             .when(kind == "secret", F.concat(_scrambled(real, digest), tail))
             .otherwise(_syllables(real, digest, attempt))
         )
@@ -240,7 +251,8 @@ def stand_in(kind: Column, real: Column, attempt: Column, key: str) -> Column:
 
 
 def _filled(entity: Column, chars: Column) -> Column:
-    """The entity with its letters and digits replaced in turn, from the right end."""
+    """The entity with its letters and digits replaced in turn, from the right end; what the
+    entity has no room for goes before its first."""
 
     def of(extra: Column) -> Column:
         def swap(i: Column) -> Column:
@@ -249,7 +261,12 @@ def _filled(entity: Column, chars: Column) -> Column:
             open_ = F.regexp_like(char, F.lit("[0-9A-Za-z]")) & (place > 0)
             return F.when(open_, F.substr(chars, place, F.lit(1))).otherwise(char)
 
-        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), swap), "")
+        written = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), swap), "")
+        before = F.regexp_extract(entity, "^([^0-9A-Za-z]*)", 1)
+        longer = F.concat(
+            before, F.left(chars, -extra), F.substr(written, F.length(before) + F.lit(1))
+        )
+        return F.when(extra < 0, longer).otherwise(written)
 
     own = F.length(F.regexp_replace(entity, "[^0-9A-Za-z]", ""))
     return _let(own - F.length(chars), of)
@@ -315,8 +332,7 @@ def _attempts(seen: DataFrame, key: str) -> DataFrame:
     """(kind, real, attempt) of the parts that collide at attempt 0."""
     real = seen.select("kind", "real")
     state = cut_lineage(real.withColumn("attempt", F.lit(0)))
-    changed = 1
-    for _ in range(_LIMIT):
+    while True:
         drawn = state.withColumn("new", stand_in(F.col("kind"), F.col("real"), F.col("attempt"), key))
         first = drawn.groupBy("kind", "new").agg(
             F.min(F.struct("attempt", "real")).alias("holder"), F.count("*").alias("n")
@@ -328,14 +344,11 @@ def _attempts(seen: DataFrame, key: str) -> DataFrame:
             "is_real or holder.real != real"
         ).select("kind", "real", (F.col("attempt") + 1).alias("attempt"))
         moved = cut_lineage(moved)
-        changed = moved.count()
-        if not changed:
+        if moved.isEmpty():
             break
         state = cut_lineage(
             state.join(moved.select("kind", "real"), ["kind", "real"], "left_anti").unionByName(moved)
         )
-    if changed:
-        raise ValueError("a kind has too few surrogates for its distinct entities")
     return state.where("attempt > 0")
 
 

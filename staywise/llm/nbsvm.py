@@ -98,8 +98,12 @@ def descend(
     cost: float = 1.0,
     rounds: int = 12,
     seed: int = 7,
+    least_step: float = 1e-3,
 ) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the hinge loss; classes weigh the same in the loss."""
+    """Dual coordinate descent for the hinge loss; classes weigh the same in the loss.
+
+    It ends after ``rounds``, or a round without a step of ``least_step``.
+    """
     weights, bias = np.zeros(len(scale)), 0.0
     signs = np.where(labels == 1, 1.0, -1.0)
     share = np.array([max(1, (labels == 0).sum()), max(1, (labels == 1).sum())])
@@ -118,7 +122,7 @@ def descend(
                 weights[rows[i]] += step * signs[i] * values[i]
                 bias += step * signs[i]
                 moved = max(moved, abs(step))
-        if moved < 1e-3:
+        if moved < least_step:
             break
     return weights * scale, bias
 

@@ -365,6 +365,8 @@ ORACLE = {
     "gold_stream": f"{_WITH} {_gold_scoring()}",
     "gold_stream_fanout": _FANOUT,
     "gold_fanout_once": _FANOUT,
+    "gold_compacted": f"""{_WITH} SELECT s.sink, g.* FROM ({_gold_scoring()}) g,
+        (SELECT 'table' AS sink UNION ALL SELECT 'next') s""",
     "medallion_lane_a": f"{_WITH} SELECT {_GOLD_ROWS} FROM gold",
     "medallion_lane_b": f"{_WITH} {_gold_scoring()}",
     "feat_payment_risky": _column("is_payment_risky"),

@@ -331,6 +331,26 @@ def gold_fanout_once(spark, sf_dir):
     )
 
 
+def gold_compacted(spark, sf_dir):
+    """A table that lands in small batches, compacted in between, and its next hop."""
+    staged, table, after = (new_folder(spark, n) for n in ("staged", "table", "next"))
+    checkpoint, position = new_folder(spark, "checkpoint"), new_folder(spark, "checkpoint")
+    rows = _stamped(spark, sf_dir)
+    late = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 0
+    for part in (rows.where(late), rows.where(~late)):
+        sinks.files(part.repartition(3), staged, mode="append")
+        stream = sources.files_stream(spark, staged, STAMPED_EVENT, maxFilesPerTrigger=1)
+        drain(sinks.fan_out_once(gold.features(stream), table, checkpoint, trigger=DRAIN))
+        to_next = [batches.to_files(after)]
+        drain(batches.follow(spark, table, GOLD_SCORING, position, to_next, trigger=DRAIN))
+        batches.compact(spark, table, GOLD_SCORING)
+    both = [
+        batches.read(spark, path, GOLD_SCORING).select(F.lit(sink).alias("sink"), "*")
+        for sink, path in (("table", table), ("next", after))
+    ]
+    return _naive(both[0].unionByName(both[1]))
+
+
 def medallion_lane_a(spark, sf_dir):
     paths = medallion.LanePaths(new_folder(spark, "training-lane"))
     messages = _messages_stream(fixture.training_messages(spark, sf_dir))
@@ -987,6 +1007,7 @@ QUERIES = {
         gold_stream,
         gold_stream_fanout,
         gold_fanout_once,
+        gold_compacted,
         medallion_lane_a,
         medallion_lane_b,
         churn_label,

@@ -5,6 +5,9 @@ is written when it is whole. A batch that comes again after a failure finds its
 is not read from the source a second time; one that had not landed whole is replaced. Every
 sink gets the landed rows, so all hold the same ones whatever computed them, and writes
 under the same number, so that a repeated write finds its marker or replaces itself.
+
+Small batches make small files; ``compact`` puts them together for readers, and ``follow``
+is how a next hop takes the batches one by one.
 """
 
 from collections.abc import Callable
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from staywise.sinks import versions
+
 #: Partition columns of a landed table.
 BATCH = StructType([StructField("query_id", StringType()), StructField("batch_id", LongType())])
 
@@ -73,22 +78,81 @@ def write(rows: DataFrame, path: str, batch: Batch, fmt: str = "parquet") -> Non
     marker.coalesce(1).write.mode("overwrite").json(batch.folder(_markers(path)))
 
 
+def _compacted(path: str) -> str:
+    return f"{path}-compacted"
+
+
+def _landed(
+    spark: SparkSession, path: str, schema: StructType, fmt: str, found: list[Batch]
+) -> DataFrame:
+    """The rows of the given batches, with their ``BATCH`` columns."""
+    wanted = StructType(schema.fields + BATCH.fields)
+    if not found:
+        return spark.createDataFrame([], wanted)
+    reader = spark.read.format(fmt).schema(wanted).option("basePath", path)
+    return reader.load([batch.folder(path) for batch in found])
+
+
 def read(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", keep=()
 ) -> DataFrame:
     """The rows of all batches that have landed whole; ``keep`` may name ``BATCH`` columns.
 
-    Batches without a marker are skipped by their folder, before their files are read.
+    Batches that have been compacted are read from there, the later ones from their own
+    folders. The driver lists those, as it lists their files.
     """
-    landed = StructType(schema.fields + BATCH.fields)
-    try:
-        rows = spark.read.format(fmt).schema(landed).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], landed)
-    whole = committed(spark, path).select(*BATCH.fieldNames())
-    return rows.join(whole, BATCH.fieldNames(), "left_semi").select(*keep, *schema.fieldNames())
+    marks = committed(spark, path).select(*BATCH.fieldNames())
+    columns = [*keep, *schema.fieldNames()]
+    if versions.versions(spark, _compacted(path)).isEmpty():
+        fresh = [Batch(*row) for row in marks.collect()]
+        return _landed(spark, path, schema, fmt, fresh).select(*columns)
+    stored = StructType(schema.fields + BATCH.fields)
+    done = versions.read(spark, _compacted(path), stored, fmt)
+    # Batches of a query land in order, so what is compacted of it ends somewhere.
+    upto = done.groupBy("query_id").agg(F.max("batch_id").alias("upto"))
+    later = marks.join(upto, "query_id", "left").where("upto is null or batch_id > upto")
+    fresh = [Batch(*row) for row in later.select(*BATCH.fieldNames()).collect()]
+    return done.unionByName(_landed(spark, path, schema, fmt, fresh)).select(*columns)
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> int:
+    """Put the rows of all whole batches into few files; returns the compaction's number.
+
+    Readers at work go on with the files they have found; later ones take the new ones and
+    whatever lands after. The batches' own folders stay, for queries that ``follow`` them.
+    """
+    rows = read(spark, path, schema, fmt, keep=BATCH.fieldNames())
+    return versions.replace(rows.hint("rebalance"), _compacted(path), fmt)
+
+
+def follow(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    checkpoint: str,
+    sinks: list[Sink],
+    fmt: str = "parquet",
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """The next hop of a landed table: every batch goes to the sinks once it is whole.
+
+    What is streamed are the markers, so neither a batch that was cut short nor a compaction
+    is ever taken for new rows. ``options`` bound a step, such as ``maxFilesPerTrigger``.
+    """
+    marker = StructType([*BATCH.fields, StructField("committed_at", StringType())])
+    marks = spark.readStream.schema(marker).options(**options).json(_markers(path))
+
+    def each(rows: DataFrame, number: int) -> None:
+        found = [Batch(*row) for row in rows.select(*BATCH.fieldNames()).collect()]
+        landed = _landed(rows.sparkSession, path, schema, fmt, found).select(*schema.fieldNames())
+        for sink in sinks:
+            sink(landed, current(rows, number))
+
+    writer = marks.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if trigger is not None:
+        writer = writer.trigger(**trigger)
+    return writer.start()
 
 
 def to_files(

@@ -199,3 +199,45 @@ def test_memory_of_messages_is_bounded(spark, deliver):
         query = run(numbered(spark, range(begin, begin + 100)), within="10 minutes", clock=clock)
         kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
     assert max(kept) <= 220 and sum(seen().values()) == 600
+
+
+def test_compaction_keeps_rows_and_followers(spark, source, tmp_path):
+    """Fewer files, the same rows; a next hop neither repeats nor loses a batch."""
+    path, stream = source
+    table, after = str(tmp_path / "table"), str(tmp_path / "next")
+
+    def land():
+        drain(sinks.fan_out_once(stream(), table, str(tmp_path / "cp"), trigger=DRAIN))
+
+    def follow(**options):
+        sink = [batches.to_files(after)]
+        drain(batches.follow(spark, table, ROW, str(tmp_path / "pos"), sink, trigger=DRAIN, **options))
+
+    def files():
+        return len(batches.read(spark, table, ROW).inputFiles())
+
+    land()
+    follow(maxFilesPerTrigger=2)
+    held, before = rows_of(spark, table), batches.read(spark, table, ROW)
+    assert files() >= 5 and batches.compact(spark, table, ROW) == 1
+    assert files() == 1 and rows_of(spark, table) == held
+    assert Counter(map(tuple, before.collect())) == held
+    follow()
+    assert rows_of(spark, after) == held
+    # Batches that land later, one of them cut short, and another compaction.
+    spark.range(1000, 1400).repartition(2).write.mode("append").parquet(path)
+    land()
+    spark.range(7).withColumn("drawn", F.lit(1.0)).write.parquet(batches.Batch("q", 99).folder(table))
+    follow()
+    more = rows_of(spark, table)
+    assert sum(more.values()) == 1400 and not held - more and rows_of(spark, after) == more
+    numbers = batches.read(spark, table, ROW, keep=("batch_id",))
+    assert numbers.select("batch_id").distinct().count() == 7
+    assert files() == 3 and batches.compact(spark, table, ROW) == 2 and files() == 1
+    follow()
+    assert rows_of(spark, table) == more == rows_of(spark, after)
+
+
+def test_compacting_nothing(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert batches.compact(spark, path, ROW) == 1 and rows_of(spark, path) == Counter()

@@ -15,7 +15,6 @@ __all__ = [
     "held_out",
     "new_folder",
     "partitions",
-    "stored_in_blocks",
     "stored_in_even_blocks",
     "table",
     "unused",
@@ -78,12 +77,6 @@ def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     return stored
 
 
-def stored_in_blocks(docs: DataFrame) -> DataFrame:
-    """``docs`` stored with a ``block`` number, one block per partition of the input."""
-    blocks = docs.withColumn("block", F.spark_partition_id())
-    return _bucketed(blocks, docs.rdd.getNumPartitions())
-
-
 def stored_in_even_blocks(docs: DataFrame, text: str, size: int) -> DataFrame:
     """``docs`` stored with a ``block`` number; a block has about ``size`` bytes of ``text``.
 
@@ -93,7 +86,7 @@ def stored_in_even_blocks(docs: DataFrame, text: str, size: int) -> DataFrame:
     length = F.least(F.coalesce(F.octet_length(text), F.lit(0)), F.lit(size))
     each = docs.groupBy(F.spark_partition_id()).agg(F.sum(length).alias("n"))
     most = each.agg(F.max("n")).first()[0] or 0
-    row = F.xxhash64(F.monotonically_increasing_id())
-    inside = F.pmod(row, F.lit(max(1, math.ceil(most / size))))
-    first = F.shiftleft(F.spark_partition_id().cast("bigint"), 32)
+    blocks = max(1, math.ceil(most / size))
+    inside = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    first = F.spark_partition_id().cast("bigint") * blocks
     return _bucketed(docs.withColumn("block", first + inside), docs.rdd.getNumPartitions())

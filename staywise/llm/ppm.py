@@ -31,9 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from staywise.llm.common import BLOCK, held_out, partitions, stored_in_blocks
+from staywise.llm.common import BLOCK, held_out, partitions, stored_in_even_blocks
 
 ORDER = 5
 SMOOTHING = 0.1
@@ -41,6 +41,8 @@ FOLDS = 10
 #: Bytes that UTF-8 never has: before the text, and after it.
 BEGIN, END = 0xFF, 0xFE
 SYMBOLS = 255
+#: Bytes of text in a block, whose grams a task holds at once.
+_BYTES = 1 << 24
 _SLICE = 1 << 19
 _FLUSH = 1 << 19
 #: Distinct words held before a block's lists are sent on; what is sent twice adds up.
@@ -296,7 +298,7 @@ class Lookup:
         return self.values[found]
 
 
-def _scores(order: int, smoothing: float, key: pa.DataType):
+def _scores(order: int, smoothing: float):
     def score(docs: pa.Table, values: pa.Table) -> pa.Table:
         known = Lookup(values.column("key").to_numpy(), values.column("value").to_numpy())
         ends = word_key(b"")
@@ -312,7 +314,7 @@ def _scores(order: int, smoothing: float, key: pa.DataType):
         tokens, known, base, bits = zip(*rows, strict=True)
         return pa.table(
             {
-                "doc_id": docs.column("doc_id").combine_chunks().cast(key),
+                "doc_id": docs.column("doc_id"),
                 "held_out": docs.column("held_out").combine_chunks(),
                 "n_tokens": pa.array(tokens, pa.int64()),
                 "n_known": pa.array(known, pa.int64()),
@@ -344,12 +346,14 @@ def score(
     if not 2 <= order <= 6:
         raise ValueError("contexts of 2 to 6 bytes only")
     spark = docs.sparkSession
-    stored = stored_in_blocks(
+    stored = stored_in_even_blocks(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             held_out(F.col(doc_id), folds).alias("held_out"),
-            F.col(text).alias("text"),
-        )
+            F.col(text).cast("string").alias("text"),
+        ),
+        "text",
+        _BYTES,
     )
     counted = (
         stored.where(~F.col("held_out"))
@@ -371,7 +375,7 @@ def score(
         partitions(spark), F.when(F.col("key") < 0, F.xxhash64("key")).otherwise(pair)
     ).mapInArrow(_values(order, levels[1], levels[0]), "key bigint, value double")
     placed = dealt.join(values, "key").select(
-        F.shiftright("slot", BLOCK).cast("int").alias("block"), "key", "value"
+        F.shiftright("slot", BLOCK).alias("block"), "key", "value"
     )
     word = F.col("key") < 0
     figures = counts.agg(
@@ -380,16 +384,16 @@ def score(
             F.count_if(word & (F.col("n") > 0)).alias("distinct"),
         ).alias("figures")
     ).scalar()
-    kind = stored.schema["doc_id"].dataType.simpleString()
-    arrow_kind = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[kind]
+    fields = [
+        stored.schema["doc_id"],
+        StructField("held_out", BooleanType()),
+        *[StructField(name, LongType()) for name in ("n_tokens", "n_known")],
+        *[StructField(name, DoubleType()) for name in ("base", "score")],
+    ]
     scored = (
         stored.groupBy("block")
         .cogroup(placed.groupBy("block"))
-        .applyInArrow(
-            _scores(order, smoothing, arrow_kind),
-            f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
-            "base double, score double",
-        )
+        .applyInArrow(_scores(order, smoothing), StructType(fields))
     )
     total = figures["total"]
     floor = F.log10(total + smoothing * (figures["distinct"] + 1))

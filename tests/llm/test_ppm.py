@@ -97,3 +97,26 @@ def test_lookup():
     with pytest.raises(KeyError):
         known.of(np.array([12345]))
     assert len(ppm.Lookup(keys[:0], keys[:0] * 0.5).of(keys[:0])) == 0
+
+
+@pytest.mark.parametrize("size", [2_000, 60_000])
+def test_blocks_of_any_size(documents, size, monkeypatch):
+    """A partition is cut into blocks; scores do not depend on how."""
+    docs = documents.where("length(text) < 3000").coalesce(1)
+    expected = {r.doc_id: (r.train_tokens, r.n_known, r.score) for r in ppm.score(docs).collect()}
+    monkeypatch.setattr(ppm, "_BYTES", size)
+    found = ppm.score(docs.repartition(2)).collect()
+    assert len(found) == len(expected)
+    for r in found:
+        tokens, known, score = expected[r.doc_id]
+        assert (r.train_tokens, r.n_known) == (tokens, known)
+        assert r.score == pytest.approx(score, abs=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["smallint", "double", "string", "date"])
+def test_keys_of_any_type(spark, kind):
+    key = "date_add(date'2020-01-01', cast(id as int))" if kind == "date" else "id"
+    docs = spark.range(9).selectExpr(f"cast({key} as {kind}) AS doc_id", "repeat('ab c ', cast(id as int)) AS text")
+    found = ppm.score(docs)
+    assert found.schema["doc_id"].dataType.simpleString() == kind
+    assert sorted(r.n_tokens for r in found.collect()) == [1 + 2 * i for i in range(9)]

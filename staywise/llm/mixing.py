@@ -177,10 +177,11 @@ def mix(
     place in the order. Columns named like the added ones are replaced.
     """
     docs = docs.drop(*ADDED)
-    # The user's columns stay together, so that none is taken for one of those beside it.
+    # The user's columns go by their place, so that none is taken for one of those beside
+    # them; one by one, so that those that nobody reads do not move.
     names = docs.columns
     docs = docs.select(
-        F.struct(*names).alias("_kept"),
+        *[F.col(c).alias(f"_kept_{i}") for i, c in enumerate(names)],
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         F.col(text).alias("text"),
@@ -208,7 +209,7 @@ def mix(
             copies = copies + earlier.cast("int")
     copies = F.when(F.col("_size") > 0, copies).otherwise(0)
     return placed.select(
-        *[F.col("_kept")[c].alias(c) for c in names],
+        *[F.col(f"_kept_{i}").alias(c) for i, c in enumerate(names)],
         F.col("_size").alias("size"),
         F.col("_words").alias("source_size"),
         F.col("_target").alias("target"),

@@ -1,5 +1,7 @@
 """Category indexing, one-hot encoding and the feature vector."""
 
+import math
+
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -7,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from staywise.config import ModelSpec
-from staywise.operators.running import numbered
+from staywise.operators.running import ROWS_PER_RANGE, numbered
 from staywise.workspace import cut_lineage
 
 
@@ -52,7 +54,8 @@ def index_table(counted: DataFrame, columns) -> DataFrame:
     column's first number is taken off. Nothing but one number per column is broadcast.
     """
     wanted = cut_lineage(counted.where(F.col("column").isin(*columns)).select("column", "value", "n"))
-    placed = numbered(wanted, [F.asc("column"), F.desc("n"), F.asc("value")])
+    ranges = math.ceil(wanted.count() / ROWS_PER_RANGE) or 1
+    placed = numbered(wanted, [F.asc("column"), F.desc("n"), F.asc("value")], ranges)
     first = wanted.groupBy("column").agg(F.count("*").alias("values"))
     earlier = W.partitionBy(F.lit(0)).orderBy("column").rowsBetween(W.unboundedPreceding, -1)
     # One row per column.

@@ -169,8 +169,10 @@ def test_the_bound_falls_with_the_size():
     assert sketches.area_error(4000) < sketches.area_error(400)
 
 
-def test_index_of_very_many_values(spark):
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 3000])
+def test_index_of_very_many_values(spark, monkeypatch, rows_per_range):
     """As many values as rows: numbered on Spark, in the order that the labels have."""
+    monkeypatch.setattr(encode, "ROWS_PER_RANGE", rows_per_range)
     df = spark.range(60_000).select(
         F.concat(F.lit("v"), F.col("id") % 20_000 + F.when(F.col("id") < 30_000, 0).otherwise(100_000)).alias("many"),
         (F.col("id") % 3).cast("string").alias("few"),

@@ -61,7 +61,7 @@ def scoring_lane(
         to_topic = sinks.kafka_batches(servers, topics.features, gold.to_message)
         return medallion.scoring_lane(
             messages, paths, fmt, trigger, clock, rules,
-            publish_batches=[to_topic], **(read_options or {}),
+            publish_batches=[to_topic], partition_by=partition_by, **(read_options or {}),
         )
 
     def publish(df):

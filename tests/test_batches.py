@@ -241,3 +241,26 @@ def test_compaction_keeps_rows_and_followers(spark, source, tmp_path):
 def test_compacting_nothing(spark, tmp_path):
     path = str(tmp_path / "none")
     assert batches.compact(spark, path, ROW) == 1 and rows_of(spark, path) == Counter()
+
+
+def test_scoring_topics_with_one_read(spark, sf_dir, tmp_path, monkeypatch):
+    """The wiring, with folders in the place of topics."""
+    from staywise.streaming import topics
+
+    broker = str(tmp_path / "churn_input")
+    fixture.scoring_messages(spark, sf_dir).write.parquet(broker)
+    asked, texts = [], str(tmp_path / "texts")
+
+    def to_topic(servers, topic, prepare, **extra):
+        asked.append((servers, topic))
+        return batches.to_files(texts, prepare)
+
+    monkeypatch.setattr(sources, "kafka", lambda *a, **k: sources.files_stream(spark, broker, KAFKA))
+    monkeypatch.setattr(sinks, "kafka_batches", to_topic)
+    paths = medallion.LanePaths(str(tmp_path / "lane"))
+    topics.scoring_lane(spark, "b:9092", paths, trigger=DRAIN, one_read=True)
+    assert asked == [("b:9092", "churn_features")]
+    assert batches.read(spark, paths.table("gold"), GOLD_SCORING).count() == 1000
+    assert batches.read(spark, texts, StructType().add("value", "string")).count() == 1000
+    with pytest.raises(ValueError, match="stands alone"):
+        topics.scoring_lane(spark, "b:9092", paths, trigger=DRAIN, one_read=True, partition_by=("gender",))

@@ -15,6 +15,7 @@ __all__ = [
     "held_out",
     "new_folder",
     "partitions",
+    "stored_in_blocks",
     "stored_in_even_blocks",
     "table",
     "unused",
@@ -77,6 +78,12 @@ def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     return stored
 
 
+def stored_in_blocks(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a ``block`` number, one block per partition of the input."""
+    blocks = docs.withColumn("block", F.spark_partition_id().cast("bigint"))
+    return _bucketed(blocks, docs.rdd.getNumPartitions())
+
+
 def stored_in_even_blocks(docs: DataFrame, text: str, size: int) -> DataFrame:
     """``docs`` stored with a ``block`` number; a block has about ``size`` bytes of ``text``.
 

@@ -36,18 +36,15 @@ def _object(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
 
 
-def _kind(value: Column) -> Column:
-    """The JSON kind of a field: whole, huge (beyond 64 bits), fraction, string, boolean, ..."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(kind == "BIGINT", "whole")
-        .when(kind.rlike(r"^DECIMAL\(\d+,0\)$"), F.when(_has_point(value), "fraction").otherwise("huge"))
-        .when(kind.startswith("DECIMAL"), "fraction")
-        .when(kind == "DOUBLE", "fraction")
-        .when(kind == "STRING", "string")
-        .when(kind == "BOOLEAN", "boolean")
-        .otherwise("nested")
-    )
+def _as_declared(value: Column, said: Column, kind: DataType) -> Column:
+    """Whether a field whose variant schema is ``said`` is of the JSON kind of ``kind``: a
+    number, whole or not (of any size), a string, a boolean."""
+    if isinstance(kind, _WHOLE_NUMBERS):
+        # Beyond 64 bits, whole numbers are decimals.
+        return (said == "BIGINT") | (said.rlike(r"^DECIMAL\(\d+,0\)$") & ~_has_point(value))
+    if isinstance(kind, _FRACTIONS):
+        return said.isin("BIGINT", "DOUBLE") | said.startswith("DECIMAL")
+    return said == ("STRING" if isinstance(kind, StringType) else "BOOLEAN")
 
 
 def _has_point(value: Column) -> Column:
@@ -56,29 +53,27 @@ def _has_point(value: Column) -> Column:
     return F.try_variant_get(value, "$", "bigint").isNotNull()
 
 
-def _state(value: Column, kind: DataType) -> Column:
-    """Null if the field is as declared."""
-    typed = F.try_variant_get(value, "$", kind.simpleString())
-    said = _kind(value)
-    if isinstance(kind, _WHOLE_NUMBERS):
-        state = (
-            F.when(~said.isin("whole", "huge"), WRONG_TYPE)
-            .when(typed.isNull(), OVERFLOW)
-        )
-    elif isinstance(kind, _FRACTIONS):
-        endless = typed.isNull() | typed.isin(float("inf"), float("-inf"))
-        state = F.when(~said.isin("whole", "huge", "fraction"), WRONG_TYPE).when(endless, OVERFLOW)
-    elif isinstance(kind, StringType):
-        state = F.when(said != "string", WRONG_TYPE)
-    elif isinstance(kind, BooleanType):
-        state = F.when(said != "boolean", WRONG_TYPE)
+def _state(value: Column, said: Column, typed: Column, kind: DataType) -> Column:
+    """Null if the field is as declared; ``typed`` is its value as ``kind``."""
+    if isinstance(kind, (*_WHOLE_NUMBERS, *_FRACTIONS, StringType, BooleanType)):
+        state = F.when(~_as_declared(value, said, kind), WRONG_TYPE)
+        if isinstance(kind, _WHOLE_NUMBERS):
+            state = state.when(typed.isNull(), OVERFLOW)
+        elif isinstance(kind, _FRACTIONS):
+            state = state.when(typed.isNull() | typed.isin(float("inf"), float("-inf")), OVERFLOW)
     else:
         state = F.when(typed.isNull(), WRONG_TYPE)
     return F.when(value.isNull(), ABSENT).when(F.is_variant_null(value), NULL).otherwise(state)
 
 
-def _typed(value: Column, kind: DataType, state: Column) -> Column:
-    return F.when(state.isNull(), F.try_variant_get(value, "$", kind.simpleString()))
+def _step(df: DataFrame, keep, **columns: Column) -> DataFrame:
+    """``keep…`` and ``columns``, worked out once per row.
+
+    One row in, one row out: unlike a projection, which Spark merges with those above and
+    repeats for each use of a column, or for a filter on it.
+    """
+    made = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*keep, F.inline(F.array(made)))
 
 
 def read(
@@ -93,43 +88,55 @@ def read(
     order of their names. Names are told apart by case. A field that occurs twice makes the
     message malformed.
     """
-    text = F.col(column)
-    # One row in, one row out: what is above is not merged with the parsing and repeat it.
-    parsed = df.select(
-        *keep,
-        F.inline(F.array(F.struct(
-            F.try_parse_json(text).alias("_parsed"),
-            F.when(~F.coalesce(text, F.lit("")).rlike(r"\S"), EMPTY).alias("_empty"),
-        ))),
-    )
+    text, n = F.col(column), range(len(schema))
+    parsed = _step(
+        df,
+        keep,
+        _parsed=F.try_parse_json(text),
+        _empty=F.when(~F.coalesce(text, F.lit("")).rlike(r"\S"), EMPTY),
+    )
     whole = (
         F.when(F.col("_empty").isNotNull(), F.col("_empty"))
         .when(F.col("_parsed").isNull(), MALFORMED)
         .when(~_object(F.col("_parsed")), NO_OBJECT)
     )
-    fields = [
+    judged = _step(parsed, [*keep, "_parsed"], _whole=whole)
+    values = [
         F.when(F.col("_whole").isNull(), F.try_variant_get("_parsed", f"$['{f.name}']", "variant"))
         for f in schema
     ]
-    states = [_state(x, f.dataType).alias(f.name) for x, f in zip(fields, schema, strict=True)]
-    judged = parsed.withColumn("_whole", whole).select(
-        *keep, "_parsed", "_whole", F.struct(*states).alias("_states")
-    )
-    found = F.array(*[
-        F.struct(F.lit(f.name).alias("field"), F.col("_states")[f.name].alias("state"))
-        for f in schema
+    kept = [*keep, "_parsed", "_whole"]
+    found = _step(judged, kept, **{f"_value{i}": values[i] for i in n})
+    kept += [f"_value{i}" for i in n]
+    said = _step(found, kept, **{f"_said{i}": F.schema_of_variant(f"_value{i}") for i in n})
+    typed = {
+        f"_typed{i}": F.try_variant_get(f"_value{i}", "$", f.dataType.simpleString())
+        for i, f in enumerate(schema)
+    }
+    kept += [f"_said{i}" for i in n]
+    known = _step(said, kept, **typed)
+    states = {
+        f"_state{i}": _state(
+            F.col(f"_value{i}"), F.col(f"_said{i}"), F.col(f"_typed{i}"), f.dataType
+        )
+        for i, f in enumerate(schema)
+    }
+    stated = _step(known, ["*"], **states)
+    listed = F.array(*[
+        F.struct(F.lit(f.name).alias("field"), F.col(f"_state{i}").alias("state"))
+        for i, f in enumerate(schema)
     ])
     defects = F.when(
-        F.col("_whole").isNull(), F.filter(found, lambda x: x["state"].isNotNull())
+        F.col("_whole").isNull(), F.filter(listed, lambda x: x["state"].isNotNull())
     ).otherwise(F.array(F.struct(F.lit(WHOLE).alias("field"), F.col("_whole").alias("state"))))
     names = F.map_keys(F.try_variant_get("_parsed", "$", "map<string, variant>"))
-    known = F.array(*[F.lit(f.name) for f in schema])
-    unknown = F.when(F.col("_whole").isNull(), F.array_sort(F.array_except(names, known)))
-    return judged.select(
+    declared = F.array(*[F.lit(f.name) for f in schema])
+    unknown = F.when(F.col("_whole").isNull(), F.array_sort(F.array_except(names, declared)))
+    return stated.select(
         *keep,
         *[
-            _typed(x, f.dataType, F.col("_states")[f.name]).alias(f.name)
-            for x, f in zip(fields, schema, strict=True)
+            F.when(F.col(f"_state{i}").isNull(), F.col(f"_typed{i}")).alias(f.name)
+            for i, f in enumerate(schema)
         ],
         defects.alias("defects"),
         F.coalesce(unknown, F.array().cast("array<string>")).alias("unknown"),

@@ -88,6 +88,17 @@ def test_one_parse_per_row(spark, sf_dir):
         assert plan.count("parseJson") == 1
 
 
+def test_each_field_is_looked_up_once(spark, sf_dir):
+    texts = bronze.decode(fixture.broken_messages(spark, sf_dir), keep=("offset",))
+    read = defects.read(texts)
+    for df in (read, defects.clean(read).where("age > 30"), defects.faulty(read), defects.counts(read)):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        for field in CUSTOMER_EVENT.fieldNames():
+            assert text.count(f"$['{field}']") == 1
+        # One of each field, and one of the message.
+        assert text.count("schema_of_variant") + text.count("schemaOfVariant") == len(CUSTOMER_EVENT) + 1
+
+
 def test_clean_rows_are_those_of_the_parser(spark, sf_dir):
     texts = bronze.decode(fixture.broken_messages(spark, sf_dir), keep=("offset",))
     read = defects.read(texts, keep=("offset",))

@@ -112,9 +112,15 @@ def scoring_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_messages(events, "churn_input", F.to_json(fields))
 
 
-def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as messages, seven in fifty damaged, each in its own way."""
-    events = customer_events(spark, sf_dir)
+def dirty_messages(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None
+) -> DataFrame:
+    """All events as messages, seven in fifty damaged, each in its own way.
+
+    ``events`` are the customer events, if they are stored already.
+    """
+    if events is None:
+        events = customer_events(spark, sf_dir)
     kind = F.col("event_id") % 50
     fields = F.struct(
         "customer_id",

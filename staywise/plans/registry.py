@@ -788,8 +788,8 @@ def score_saved_model(spark, sf_dir):
     )
 
 
-def _feature_messages(spark, sf_dir, half=None):
-    texts = gold.to_message(gold.features(_dirty_stamped(spark, sf_dir, half)))
+def _feature_messages(spark, sf_dir, events, half=None):
+    texts = gold.to_message(gold.features(_dirty_stamped(spark, sf_dir, events, half)))
     return texts.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
@@ -801,9 +801,10 @@ def _feature_messages(spark, sf_dir, half=None):
     )
 
 
-def _numbered_feature_messages(spark, sf_dir):
+def _numbered_feature_messages(spark, sf_dir, events):
     """Feature messages with the event's number as their offset."""
-    texts = bronze.decode(fixture.dirty_messages(spark, sf_dir), keep=("offset", "timestamp"))
+    messages = fixture.dirty_messages(spark, sf_dir, events)
+    texts = bronze.decode(messages, keep=("offset", "timestamp"))
     parsed = silver.parse(texts, SCORING_EVENT, keep=("offset", "timestamp"))
     featured = gold.features(bronze.stamp(parsed, F.col("timestamp")))
     value = F.to_json(F.struct(*GOLD_SCORING.fieldNames())).cast("binary")
@@ -819,12 +820,15 @@ def _numbered_feature_messages(spark, sf_dir):
 
 
 def score_stream_rows(spark, sf_dir, halves=(None,), runs_each=1):
-    """Feature messages scored by a stream; scored and rejected rows read back.
+    """Feature messages scored by a stream; the model, the messages as they were staged, and
+    the scored and rejected rows read back.
 
     The messages may come in halves, with the stream run after each, and again without
-    anything new; its checkpoints are its read position.
+    anything new; its checkpoints are its read position. They are made from the stored
+    events, which are thus joined once.
     """
-    fitted = training.fit(_stored_gold(spark, sf_dir))
+    events = _stored_gold(spark, sf_dir)
+    fitted = training.fit(events)
     staged = new_folder(spark, "staged")
     scores, rejects = new_folder(spark, "scores"), new_folder(spark, "rejects")
     positions = {path: new_folder(spark, "checkpoint") for path in (scores, rejects)}
@@ -833,7 +837,7 @@ def score_stream_rows(spark, sf_dir, halves=(None,), runs_each=1):
         return lambda df: sinks.files_stream(df, path, positions[path], trigger=DRAIN)
 
     for half in halves:
-        sinks.files(_feature_messages(spark, sf_dir, half), staged, mode="append")
+        sinks.files(_feature_messages(spark, sf_dir, events, half), staged, mode="append")
         for _ in range(runs_each):
             stream = sources.files_stream(spark, staged, KAFKA)
             for query in scorer.stream(
@@ -848,16 +852,18 @@ def score_stream_rows(spark, sf_dir, halves=(None,), runs_each=1):
         F.lit(None).cast("double").alias("prediction"),
         F.concat_ws(",", "reject_reasons").alias("reasons"),
     )
-    return fitted, _naive(accepted.unionByName(refused))
+    messages = sources.files(spark, staged, schema=KAFKA)
+    return fitted, messages, _naive(accepted.unionByName(refused))
 
 
 def score_stream_redelivered(spark, sf_dir):
     """What was scored or refused when half of the messages are delivered twice or more, in
     one run and across a restart, counted by reason."""
-    fitted = training.fit(_stored_gold(spark, sf_dir))
+    events = _stored_gold(spark, sf_dir)
+    fitted = training.fit(events)
     names = ("staged", "features", "scores", "rejects", "checkpoint")
     staged, features, scores, rejects, checkpoint = (new_folder(spark, n) for n in names)
-    messages = cut_lineage(_numbered_feature_messages(spark, sf_dir))
+    messages = cut_lineage(_numbered_feature_messages(spark, sf_dir, events))
     even, fourth = F.col("offset") % 2 == 0, F.col("offset") % 4
     for deliveries in ([even, fourth == 0], [~even, fourth == 0, fourth == 1, fourth == 1]):
         for delivered in deliveries:
@@ -884,9 +890,8 @@ def score_stream_redelivered(spark, sf_dir):
 
 def score_stream(spark, sf_dir):
     """The stream's scores against those of a batch over the same messages."""
-    fitted, rows = score_stream_rows(spark, sf_dir)
-    rows = cut_lineage(rows)
-    features = scorer.read_features(_feature_messages(spark, sf_dir))
+    fitted, messages, rows = score_stream_rows(spark, sf_dir)
+    features = scorer.read_features(messages)
     batch = scorer.scored(features, fitted.model, SPEC.threshold).select("input.*", "prediction")
     streamed = rows.where("reasons = ''").drop("reasons")
     names = streamed.columns
@@ -910,8 +915,8 @@ def _halved(messages, half):
     return messages if half is None else messages.where(F.col("offset") % 2 == half)
 
 
-def _dirty_stamped(spark, sf_dir, half=None):
-    messages = _halved(fixture.dirty_messages(spark, sf_dir), half)
+def _dirty_stamped(spark, sf_dir, events=None, half=None):
+    messages = _halved(fixture.dirty_messages(spark, sf_dir, events), half)
     texts = bronze.decode(messages, keep=("timestamp",))
     parsed = silver.parse(texts, SCORING_EVENT, keep=("timestamp",))
     return silver.conform(bronze.stamp(parsed, F.col("timestamp")), STAMPED_EVENT)
@@ -925,12 +930,12 @@ def _reason_counts(rows):
 
 def score_stream_counts(spark, sf_dir):
     """How many messages the streaming scorer accepted, and refused for what."""
-    return _reason_counts(score_stream_rows(spark, sf_dir)[1])
+    return _reason_counts(score_stream_rows(spark, sf_dir)[-1])
 
 
 def score_stream_restart(spark, sf_dir):
     """The same counts when messages come in two halves and each run is repeated."""
-    return _reason_counts(score_stream_rows(spark, sf_dir, halves=(0, 1), runs_each=2)[1])
+    return _reason_counts(score_stream_rows(spark, sf_dir, halves=(0, 1), runs_each=2)[-1])
 
 
 # Restarts and waiting

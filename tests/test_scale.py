@@ -126,3 +126,19 @@ def test_one_score_held_by_most_rows(spark):
     assert one.roc_auc == pytest.approx(
         evaluate.mllib_area(df, raw="churn_prob", bins=0), abs=1e-12
     )
+
+
+@pytest.mark.parametrize(
+    "name", ["score_stream"]
+)
+def test_a_scored_streams_events_are_joined_once(spark, sf_dir, name, monkeypatch):
+    joined, customer_events = [], fixture.customer_events
+
+    def counted(*args):
+        joined.append(args)
+        return customer_events(*args)
+
+    monkeypatch.setattr(fixture, "customer_events", counted)
+    rows = registry.QUERIES[name](spark, sf_dir).collect()
+    assert len(joined) == 1
+    assert sum(row["n_rows"] for row in rows) == 1000

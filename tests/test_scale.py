@@ -129,7 +129,7 @@ def test_one_score_held_by_most_rows(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["score_stream"]
+    "name", ["score_stream", "score_stream_restart", "score_stream_redelivered"]
 )
 def test_a_scored_streams_events_are_joined_once(spark, sf_dir, name, monkeypatch):
     joined, customer_events = [], fixture.customer_events

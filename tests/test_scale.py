@@ -142,3 +142,14 @@ def test_a_scored_streams_events_are_joined_once(spark, sf_dir, name, monkeypatc
     rows = registry.QUERIES[name](spark, sf_dir).collect()
     assert len(joined) == 1
     assert sum(row["n_rows"] for row in rows) == 1000
+
+
+def test_stored_gold_is_dealt_out_evenly(spark, sf_dir):
+    """Events in one piece do not stay in one: every later step would have a single task."""
+    assert fixture.customer_events(spark, sf_dir).rdd.getNumPartitions() == 1
+    stored = registry._stored_gold(spark, sf_dir)
+    pieces = stored.groupBy(F.input_file_name()).count().collect()
+    rows = [piece["count"] for piece in pieces]
+    assert sum(rows) == 1000
+    assert len(rows) >= spark.sparkContext.defaultParallelism
+    assert max(rows) - min(rows) <= 1

@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
@@ -63,12 +64,19 @@ def train(
     """Fit on labelled, weighted rows without null numbers.
 
     ``counted`` are the category counts of ``df`` if they are known already. Only the
-    model's columns are read; MLlib keeps its own blocks of them between iterations.
+    model's columns are read. The solver reads its rows twice before it keeps its own blocks
+    of them between iterations, so their vectors are kept on disk until it is done.
     """
     if counted is None and spec.hash_width is None:
         counted = encode.category_counts(df, spec.categorical)
     rows = df.select(*spec.inputs, spec.label, spec.weight)
-    return Pipeline(stages=[*encode.stages(counted, spec), classifier(spec)]).fit(rows)
+    encoder = Pipeline(stages=encode.stages(counted, spec)).fit(rows)
+    encoded = encoder.transform(rows).select("features", spec.label, spec.weight)
+    encoded = encoded.persist(StorageLevel.DISK_ONLY)
+    try:
+        return PipelineModel([*encoder.stages, classifier(spec).fit(encoded)])
+    finally:
+        encoded.unpersist()
 
 
 def save(model: PipelineModel, path: str) -> None:

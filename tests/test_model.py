@@ -4,6 +4,7 @@ import math
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -100,6 +101,65 @@ def test_probabilities(fitted, gold_table):
     assert bad.count() == 0
 
 
+def _odd_ones(table):
+    """With unknown and null categories, and numbers without end."""
+    kind = F.col("event_id") % 10
+    return table.withColumns(
+        {
+            "gender": F.when(kind == 1, "Other").otherwise(F.col("gender")),
+            "location": F.when(kind != 2, F.col("location")),
+            "charge_bucket": F.when(kind == 3, "").otherwise(F.col("charge_bucket")),
+            "monthly_charges": F.when(kind == 4, float("inf"))
+            .when(kind == 5, -1e9)
+            .otherwise(F.col("monthly_charges")),
+        }
+    )
+
+
+def test_log_odds_are_the_models_own(fitted, gold_table):
+    """Scored without a feature vector per row, and as the model's stages score."""
+    table = _odd_ones(gold_table)
+    ours = score.batch(table, fitted.model, trust_buckets=True, raw=True)
+    theirs = score.batch(table, fitted.model, trust_buckets=True, vectors=True, raw=True)
+    assert "UDF" in theirs._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in ours._jdf.queryExecution().executedPlan().toString()
+    assert ours.columns == [c for c in theirs.columns if c in ours.columns]
+    pairs = ours.alias("a").join(theirs.alias("b"), "event_id")
+
+    def near(column, share):
+        a, b = F.col(f"a.{column}"), F.col(f"b.{column}")
+        return (a == b) | (F.abs(a - b) <= share * F.greatest(F.abs(b), F.lit(1.0)))
+
+    differs = pairs.where(
+        ~near("churn_prob", 1e-12)
+        | ~near("churn_raw", 1e-12)
+        | (F.col("a.prediction_custom") != F.col("b.prediction_custom"))
+    )
+    assert (pairs.count(), differs.count()) == (1000, 0)
+
+
+def test_nan_raises_as_in_the_vector(fitted, gold_table):
+    broken = gold_table.limit(1).withColumn("monthly_charges", F.lit(float("nan")))
+    for vectors in (False, True):
+        with pytest.raises(Exception):
+            score.batch(broken, fitted.model, vectors=vectors).collect()
+
+
+def test_rows_are_encoded_once_for_the_solver(gold_table, monkeypatch):
+    """The solver reads its rows twice; it is given vectors that are kept."""
+    kept, fit = [], LogisticRegression.fit
+
+    def seen(self, rows, *args):
+        kept.append((rows, rows.storageLevel.useDisk, rows.columns))
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(LogisticRegression, "fit", seen)
+    model.train(label.weight(label.churn(gold_table)))
+    ((rows, on_disk, columns),) = kept
+    assert on_disk and columns == ["features", SPEC.label, SPEC.weight]
+    assert not rows.storageLevel.useDisk
+
+
 @pytest.mark.parametrize("places", [480, 5000])
 def test_many_categories(spark, gold_table, tmp_path, places):
     """Batch and stream score a model with many values of a free-text column."""
